@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-SECTIONS = ("boxes", "relations", "tiling", "aggregates", "evaluation")
+SECTIONS = ("tiling", "evaluation")
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -75,6 +75,6 @@ def with_ctes(body: str, *names: str, recursive: bool = False) -> str:
     ctes = ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n].strip()})" for n in names)
     lead = "WITH RECURSIVE " if recursive else "WITH "
     body = body.strip()
-    if body[:5].upper() == "WITH ":
-        return f"{lead}{ctes},\n{body[5:]}"
+    if body.split(None, 1)[0].upper() == "WITH":
+        return f"{lead}{ctes},\n{body.split(None, 1)[1]}"
     return f"{lead}{ctes}\n{body}"

@@ -76,7 +76,8 @@ def compare(df, con, sql: str) -> list[str]:
     ]
     order = [duck_names.index(n) for n in names]
     theirs = sorted((tuple(r[i] for i in order) for r in cur.fetchall()), key=lambda r: [_key(v) for v in r])
-    ours = sorted((tuple(r[n] for n in names) for r in df.collect()), key=lambda r: [_key(v) for v in r])
+    arrow = df.select(*names).toArrow()
+    ours = sorted(zip(*[c.to_pylist() for c in arrow.columns]), key=lambda r: [_key(v) for v in r])
     if len(ours) != len(theirs):
         problems.append(f"{len(ours)} rows against {len(theirs)}")
     elif not ours:
