@@ -90,9 +90,9 @@ def pixel_classes(categories: DataFrame, exact: bool = False) -> DataFrame:
     step = MAX_GREY // n
     margin = 0 if exact or n < 2 else step // 3
     nth = F.row_number().over(Window.orderBy("category_id"))  # bounded: at most 24 classes
-    centre = (nth * step).cast("int")
-    values = F.sequence(centre - margin, F.least(centre + margin, F.lit(MAX_GREY)))
-    return categories.select(F.explode(values).alias("value"), "category_id", F.col("name").alias("label"))
+    centred = categories.withColumn("_c", (nth * step).cast("int"))
+    values = F.sequence(F.col("_c") - margin, F.least(F.col("_c") + margin, F.lit(MAX_GREY)))
+    return centred.select(F.explode(values).alias("value"), "category_id", F.col("name").alias("label"))
 
 
 def class_of_pixel(pixels: DataFrame, categories: DataFrame, exact: bool = False) -> DataFrame:

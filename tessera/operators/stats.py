@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.polygons import let
 from tessera.operators.grouping import bounded_rows, broadcast_if_small
 from tessera.operators.ordering import running
 
@@ -22,11 +23,9 @@ def class_repartition(annotations: DataFrame, categories: DataFrame, by: Sequenc
     counts = annotations.groupBy(*by, "category_id").agg(F.count(F.lit(1)).alias("n"))
     names = categories.select("category_id", F.col("name").alias("label"))
     if by:
-        # few group values times few classes: bounded by the label table's check
-        bounded_rows(names, "categories")
-        names = counts.select(*by).distinct().withColumn("_all", F.lit(1)).join(
-            F.broadcast(names.withColumn("_all", F.lit(1))), "_all"
-        ).drop("_all")
+        listed = bounded_rows(names, "categories")
+        every = F.array(*[F.struct(F.lit(r["category_id"]).alias("category_id"), F.lit(r["label"]).alias("label")) for r in listed])
+        names = counts.select(*by).distinct().select(*by, F.explode(every).alias("_c")).select(*by, "_c.*")
     return names.join(counts, [*by, "category_id"], "left").select(
         *by, "category_id", "label", F.coalesce("n", F.lit(0)).alias("n")
     )
@@ -205,6 +204,17 @@ def target_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- meters
 
 
+def _middle(values: str) -> Column:
+    """Median of a short array: the middle value, or the mean of the two middle ones."""
+
+    def pick(v: Column) -> Column:
+        n = F.size(v)
+        low, high = F.floor((n + 1) / 2).cast("int"), (F.floor(n / 2) + 1).cast("int")
+        return (F.element_at(v, low) + F.element_at(v, high)) / 2
+
+    return let(F.array_sort(values), pick)
+
+
 def rolling_meters(values: DataFrame, window: int, keys: Sequence[str], order: Sequence[str], name_filter: str | None = None) -> DataFrame:
     """Mean and median of the last ``window`` values, latest, running total and global mean per series.
 
@@ -234,8 +244,9 @@ def rolling_meters(values: DataFrame, window: int, keys: Sequence[str], order: S
     recent = Window.partitionBy(*keys, "block").orderBy("seen").rowsBetween(-(window - 1), 0)
     return (
         spread.withColumn("avg", F.avg("value").over(recent))
-        .withColumn("median", F.median("value").over(recent))
+        .withColumn("_recent", F.collect_list("value").over(recent))  # at most ``window`` values
         .filter("home")
+        .withColumn("median", _middle("_recent"))
         .select(
             *keys,
             *[c for c in order if c not in keys],

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-SECTIONS = ("tiling", "evaluation")
+SECTIONS = ("files", "aggregates")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
