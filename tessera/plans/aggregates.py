@@ -160,9 +160,9 @@ def best_row(spark, sf):
 
 
 def rolling_meters(spark, sf):
-    values = fx.table(spark, sf, "events").select(F.col("event_type").alias("name"), "event_id", "value")
-    out = stats.rolling_meters(values, 20, ["name"], ["event_id"])
-    return out.select("name", "event_id", *[F.round(c, 4).alias(c) for c in ("avg", "median", "latest", "total", "global_avg")])
+    """Values cut to quarters, so sums are exact in any order."""
+    values = fx.table(spark, sf, "events").select(F.col("event_type").alias("name"), "event_id", (F.floor(F.col("value") * 4) / 4).alias("value"))
+    return stats.rolling_meters(values, 20, ["name"], ["event_id"])
 
 
 def batch_index(spark, sf):
@@ -341,8 +341,9 @@ SQL = {
     "best_epoch": f"""WITH {_EPOCHS}, b AS (SELECT *, max(fitness) OVER (PARTITION BY run ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS best_fitness FROM epochs)
         SELECT *, (SELECT min(epoch) FROM epochs e WHERE e.run = b.run AND e.fitness = b.best_fitness) AS best_epoch FROM b""",
     "best_row": f"WITH {_EPOCHS} SELECT run, epoch, fitness, n FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY fitness DESC, epoch) AS nth FROM epochs) WHERE nth = 1",
-    "rolling_meters": """SELECT event_type AS name, event_id, round(avg(value) OVER r, 4) AS avg, round(median(value) OVER r, 4) AS median, round(value, 4) AS latest,
-        round(sum(value) OVER a, 4) AS total, round(avg(value) OVER a, 4) AS global_avg FROM events
+    "rolling_meters": """WITH v AS (SELECT event_type, event_id, floor(value * 4) / 4 AS value FROM events)
+        SELECT event_type AS name, event_id, avg(value) OVER r AS avg, median(value) OVER r AS median, value AS latest,
+        sum(value) OVER a AS total, avg(value) OVER a AS global_avg FROM v
         WINDOW r AS (PARTITION BY event_type ORDER BY event_id ROWS 19 PRECEDING), a AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)""",
     "batch_index": fx.with_ctes(
         """WITH r AS (SELECT image_id, row_number() OVER (ORDER BY image_id) - 1 AS i FROM images)

@@ -87,7 +87,7 @@ def export_detection_examples(spark, sf):
     out = records.detection_examples(fx.detections(spark, sf).withColumnRenamed("det_id", "ann_id"), fx.images(spark, sf), fx.categories(spark, sf))
 
     def total(c):
-        return F.round(F.aggregate(c, F.lit(0.0), lambda a, v: a + v), 6)
+        return F.round(F.aggregate(c, F.lit(0.0), lambda a, v: a + v), 10)
 
     return out.select(
         "image_id", "file_name", "format", "width",
@@ -169,7 +169,7 @@ SQL = {
     ),
     "export_detection_examples": fx.with_ctes(
         "SELECT image_id, file_name, 'jpg' AS format, width, "
-        + ", ".join(f"round(sum(least(greatest({e}, 0), 1)), 6) AS {n}_sum" for n, e in _UNIT.items())
+        + ", ".join(f"round(sum(least(greatest({e}, 0), 1)), 10) AS {n}_sum" for n, e in _UNIT.items())
         + """, string_agg(name, ',' ORDER BY det_id) AS class_text, string_agg(CAST(category_id AS VARCHAR), ',' ORDER BY det_id) AS class_id
         FROM detections JOIN images USING (image_id) JOIN categories USING (category_id) GROUP BY 1, 2, 3, 4""",
         "detections", "images", "categories",
