@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.greedy import serial_choice
+from tessera.operators.grouping import bounded_rows
 from tessera.operators.nms import cap_per_image
-from tessera.operators.ordering import running
+from tessera.operators.ordering import running, sliced
 from tessera.operators.overlap import crowd_iou_join, iou_join
 from tessera.session import stage
 
@@ -190,6 +193,11 @@ def sampled_precision(points: DataFrame, keys: Sequence[str], steps: int) -> Dat
     """
     keys = list(keys)
     per_bucket = points.groupBy(*keys, _recall_bucket(steps).alias("_bucket")).agg(F.max("precision").alias("_p"))
+    return _mean_over_points(per_bucket, keys, steps)
+
+
+def _mean_over_points(per_bucket: DataFrame, keys: Sequence[str], steps: int) -> DataFrame:
+    """Mean over all sampling points from the best precision per recall bucket."""
     onward = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc())  # at most steps + 1 rows per key
     spans = per_bucket.select(
         *keys,
@@ -414,39 +422,81 @@ def coco_positives(truths: DataFrame, grid: CocoGrid) -> DataFrame:
     )
 
 
-def coco_class_metrics(dets: DataFrame, truths: DataFrame, grid: CocoGrid | None = None) -> DataFrame:
-    """(category, iou_threshold, area_range, max_dets, ap, ar); -1 where a class has no counted ground truth.
+def _coco_buckets(flags: DataFrame, positives: DataFrame, grid: CocoGrid) -> DataFrame:
+    """(category, iou_threshold, area_range, bucket, precision, hit<m>): the curve's true positives by recall bucket.
 
-    All combinations share one sort per class: the flags are bits, and the
-    running sums of all combinations move through the same slices.
+    All combinations share one sort per class, because the flags are bits.  The
+    sorted rows lie in range slices, so a class of any size is many bounded
+    (class, slice) groups; each starts from the counts of the class's earlier
+    slices and returns at most 101 rows per combination.
     """
-    grid = grid or CocoGrid()
     configs = grid.configs()
-    summed = _bit_curves(coco_flags(dets, truths, grid, max(MAX_DETECTIONS)), len(configs), "coco-curves")
-    points = F.array(
-        *[
-            F.struct(
-                F.lit(t).alias("iou_threshold"),
-                F.lit(name).alias("area_range"),
-                (_has("tp", i) == 1).alias("is_tp"),
-                F.col(f"tp{i}").alias("tp"),
-                _bit_precision(i).alias("precision"),
-            )
-            for i, t, name, _, _ in configs
-        ]
+    bits = np.arange(len(configs), dtype=np.int64)
+    rows = sliced(flags, ["category_id", F.col("score").desc(), "det_id"], "coco-curves")
+    groups = rows.groupBy("category_id", "slice_no")
+
+    def unpack(pdf: pd.DataFrame, name: str) -> np.ndarray:
+        return (pdf[name].to_numpy(dtype=np.int64)[:, None] >> bits) & 1
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        return pd.DataFrame(
+            [(int(first["category_id"]), int(first["slice_no"]), unpack(pdf, "tp").sum(0), unpack(pdf, "fp").sum(0))],
+            columns=["category_id", "slice_no", "tp", "fp"],
+        )
+
+    # fewer rows than slices plus classes
+    totals = groups.applyInPandas(count, "category_id int, slice_no int, tp array<bigint>, fp array<bigint>").collect()
+    carry: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    upto: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    none = np.zeros(len(configs), dtype=np.int64)
+    for r in sorted(totals, key=lambda r: (r["category_id"], r["slice_no"])):
+        tp, fp = upto.get(r["category_id"], (none, none))
+        carry[r["category_id"], r["slice_no"]] = tp, fp
+        upto[r["category_id"]] = tp + np.array(r["tp"]), fp + np.array(r["fp"])
+    counted = {(r["category_id"], r["area_range"]): r["npos"] for r in bounded_rows(positives, "classes times area ranges")}
+    shared = rows.sparkSession.sparkContext.broadcast((carry, counted))
+    points = np.arange(RECALL_STEPS + 1) * (1.0 / RECALL_STEPS)
+    columns = ["category_id", "iou_threshold", "area_range", "bucket", "precision", *[f"hit{m}" for m in MAX_DETECTIONS]]
+
+    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("slice_pos")
+        category = int(pdf["category_id"].iloc[0])
+        before, npos = shared.value
+        start_tp, start_fp = before[category, int(pdf["slice_no"].iloc[0])]
+        is_tp = unpack(pdf, "tp")
+        tp = start_tp + is_tp.cumsum(0)
+        fp = start_fp + unpack(pdf, "fp").cumsum(0)
+        rank = pdf["det_rank"].to_numpy()
+        out = []
+        for i, threshold, area, _, _ in configs:
+            at = np.nonzero(is_tp[:, i])[0]
+            n = npos.get((category, area), 0)
+            if not len(at) or not n:
+                continue
+            precision = tp[at, i] / (tp[at, i] + fp[at, i])
+            bucket = np.searchsorted(points, tp[at, i] / n, side="right") - 1
+            edge = np.nonzero(np.diff(bucket, prepend=-2))[0]
+            best = np.maximum.reduceat(precision, edge)
+            hits = [np.add.reduceat((rank[at] <= m).astype(np.int64), edge) for m in MAX_DETECTIONS]
+            out += [(category, threshold, area, int(b), p, *h) for b, p, *h in zip(bucket[edge], best, *hits)]
+        return pd.DataFrame(out, columns=columns)
+
+    hit_fields = ", ".join(f"hit{m} bigint" for m in MAX_DETECTIONS)
+    partial = groups.applyInPandas(reduce, f"category_id int, iou_threshold double, area_range string, bucket int, precision double, {hit_fields}")
+    return partial.groupBy("category_id", "iou_threshold", "area_range", "bucket").agg(
+        F.max("precision").alias("precision"), *[F.sum(f"hit{m}").alias(f"hit{m}") for m in MAX_DETECTIONS]
     )
+
+
+def coco_class_metrics(dets: DataFrame, truths: DataFrame, grid: CocoGrid | None = None) -> DataFrame:
+    """(category, iou_threshold, area_range, max_dets, ap, ar); -1 where a class has no counted ground truth."""
+    grid = grid or CocoGrid()
     positives = coco_positives(truths, grid)
-    curve = (
-        summed.filter("tp <> 0")
-        .select("category_id", "det_rank", F.explode(points).alias("_p"))
-        .filter("_p.is_tp")
-        .select("category_id", "det_rank", "_p.iou_threshold", "_p.area_range", "_p.tp", "_p.precision")
-        .join(F.broadcast(positives), ["category_id", "area_range"])  # classes times area ranges
-        .withColumn("recall", F.col("tp") / F.col("npos"))
-    )
+    buckets = stage(_coco_buckets(coco_flags(dets, truths, grid, max(MAX_DETECTIONS)), positives, grid), "coco-buckets")
     keys = ["category_id", "iou_threshold", "area_range"]
-    ap = sampled_precision(curve, keys, RECALL_STEPS)
-    hits = curve.groupBy(*keys).agg(*[F.count_if(F.col("det_rank") <= m).alias(f"_hit{m}") for m in MAX_DETECTIONS])
+    ap = _mean_over_points(buckets.select(*keys, F.col("bucket").alias("_bucket"), F.col("precision").alias("_p")), keys, RECALL_STEPS)
+    hits = buckets.groupBy(*keys).agg(*[F.sum(f"hit{m}").alias(f"_hit{m}") for m in MAX_DETECTIONS])
     thresholds = F.explode(F.array(*[F.lit(t) for t in grid.thresholds]))
     base = positives.withColumn("iou_threshold", thresholds)
     joined = base.join(ap, keys, "left").join(hits, keys, "left")

@@ -76,7 +76,8 @@ def pad_labels(spark, sf):
         "image_id",
         F.size(row).alias("rows"),
         F.array_join(F.transform(row, lambda r: r[0].cast("int").cast("string")), ",").alias("classes"),
-        F.round(F.aggregate(F.flatten(row), F.lit(0.0), lambda a, v: a + v), 12).alias("total"),
+        row[0][1].alias("first_cx"),
+        row[5][3].alias("last_w"),
     )
 
 
@@ -300,8 +301,9 @@ SQL = {
     ),
     "pad_labels": fx.with_ctes(
         """WITH f AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY ann_id) AS nth FROM annotations JOIN images USING (image_id)),
-        g AS (SELECT image_id, list(category_id ORDER BY ann_id) AS c, sum(category_id + (2*x + w)/(2*width) + (2*y + h)/(2*height) + w/width + h/height) AS total FROM f WHERE nth <= 6 GROUP BY 1)
-        SELECT image_id, 6 AS rows, array_to_string(list_resize(c, 6, 0), ',') AS classes, round(total, 12) AS total FROM g""",
+        g AS (SELECT image_id, list(category_id ORDER BY ann_id) AS c, min((2*x + w)/(2*width)) FILTER (WHERE nth = 1) AS first_cx, coalesce(min(w/width) FILTER (WHERE nth = 6), 0) AS last_w
+              FROM f WHERE nth <= 6 GROUP BY 1)
+        SELECT image_id, 6 AS rows, array_to_string(list_resize(c, 6, 0), ',') AS classes, first_cx, last_w FROM g""",
         "images", "annotations",
     ),
     "decode_grid": fx.with_ctes(

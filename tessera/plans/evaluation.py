@@ -23,9 +23,9 @@ def iou_join(spark, sf):
 
 
 def iou_join_pixel(spark, sf):
-    """Inclusive pixel edges, same class, padded denominator; summed per image."""
+    """Inclusive pixel edges, same class, padded denominator; best per image."""
     pairs = overlap.iou_join(fx.detections(spark, sf), fx.annotations(spark, sf), ["image_id", "category_id"], pixel=1.0, eps=1e-12)
-    return pairs.groupBy("image_id").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.sum("iou"), 5).alias("iou_sum"))
+    return pairs.groupBy("image_id").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.max("iou"), 11).alias("iou_max"))
 
 
 def _boxes_as_runs(df, id_col):
@@ -345,7 +345,7 @@ SQL = {
         "detections",
     ),
     "iou_join_pixel": fx.with_ctes(
-        f"""SELECT d.image_id, count(*) AS pairs, round(sum({_iou('d', 'a', '1')}), 5) AS iou_sum
+        f"""SELECT d.image_id, count(*) AS pairs, round(max({_iou('d', 'a', '1')}), 11) AS iou_max
         FROM detections d JOIN annotations a ON d.image_id = a.image_id AND d.category_id = a.category_id
         WHERE {_iou('d', 'a', '1')} > 0 GROUP BY 1""",
         "annotations",
