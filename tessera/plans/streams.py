@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators import pixels, relate, sampling
 from tessera.operators.augment import affine_boxes, expand_augmentations
@@ -110,7 +111,7 @@ def _pictures(spark, sf):
     return ids.mapInPandas(draw, "image_id long, height int, width int, nChannels int, data binary")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _total(data: pd.Series) -> pd.Series:
     return data.map(lambda b: int(np.frombuffer(b, dtype=np.uint8).sum(dtype=np.int64)))
 
