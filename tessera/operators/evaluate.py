@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.greedy import serial_choice
-from tessera.operators.grouping import bounded_rows
+from tessera.operators.grouping import bounded_rows, broadcast_if_small
 from tessera.operators.nms import cap_per_image
 from tessera.operators.ordering import running, sliced
 from tessera.operators.overlap import crowd_iou_join, iou_join
@@ -128,7 +128,7 @@ def pr_curve(outcomes: DataFrame, positives: DataFrame) -> DataFrame:
         sums={"tp": F.col("is_tp"), "fp": F.col("is_fp")},
         name="pr-curve",
     )
-    curve = summed.join(F.broadcast(positives), "category_id")  # one row per class
+    curve = summed.join(broadcast_if_small(positives), "category_id")
     return curve.select(
         "category_id",
         "det_id",

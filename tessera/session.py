@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
+_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,8 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="tessera-")
-    return _local_dirs[app]
+        _local_dirs[app] = tempfile.TemporaryDirectory(prefix="tessera-", ignore_cleanup_errors=True)  # gone at exit
+    return _local_dirs[app].name
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,23 +142,32 @@ def write_coco_lines(tables: CocoTables, path: str) -> None:
 
 
 def write_coco_document(tables: CocoTables, path: str) -> None:
-    """One COCO document for tools that need one; ``info`` and ``licenses`` are empty.
+    """One COCO document as ordered text parts: ``cat part-*`` gives the JSON; ``info`` and ``licenses`` are empty.
 
-    Rows stream through the driver partition by partition, so memory stays
-    flat, but the file is written by one process: use ``write_coco_lines`` for
-    large data.
+    Rows are range-sorted by (table, id) and written in parallel, so no process
+    holds the document.  Every table adds an opening and a closing line, and
+    every row but a table's first starts with a comma.
     """
-    with open(path, "w", encoding="utf-8") as out:
-        out.write('{"info": {}, "licenses": []')
-        for name, rows in _json_rows(tables).items():
-            key = rows.columns[0]
-            out.write(f", {json.dumps(name)}: [")
-            first = True
-            for row in rows.orderBy(key).select("value").toLocalIterator(prefetchPartitions=True):
-                out.write(("" if first else ",\n") + row["value"])
-                first = False
-            out.write("]")
-        out.write("}\n")
+    lines = None
+    spark = tables.images.sparkSession
+    sections = _json_rows(tables)
+    for no, (name, rows) in enumerate(sections.items()):
+        key = rows.columns[0]
+        first = rows.agg(F.min(key)).first()[0]
+        start = ('{"info": {}, "licenses": [], ' if no == 0 else "") + f'"{name}": ['
+        end = "]" + (", " if no + 1 < len(sections) else "}")
+        frame = spark.range(2).select(
+            F.lit(no).alias("no"),
+            (F.col("id") * 2).cast("int").alias("place"),
+            F.lit(0).cast("long").alias("key"),
+            F.when(F.col("id") == 0, start).otherwise(end).alias("value"),
+        )
+        text = F.concat(F.when(F.col(key) == F.lit(first), "").otherwise(","), "value")
+        body = rows.select(F.lit(no).alias("no"), F.lit(1).alias("place"), F.col(key).cast("long").alias("key"), text.alias("value"))
+        part = frame.unionByName(body)
+        lines = part if lines is None else lines.unionByName(part)
+    order = ["no", "place", "key"]
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
 
 
 def save_tables(tables: CocoTables, database: str, buckets: int = 200) -> None:

@@ -23,9 +23,12 @@ def tables(spark):
 
 
 def test_coco_document_round_trip(spark, tmp_path):
+    parts = tmp_path / "parts"
+    coco.write_coco_document(tables(spark), str(parts))
     path = str(tmp_path / "coco.json")
-    coco.write_coco_document(tables(spark), path)
+    (tmp_path / "coco.json").write_text("".join(p.read_text() for p in sorted(parts.glob("part-*"))))
     doc = json.loads((tmp_path / "coco.json").read_text())
+    assert [i["id"] for i in doc["images"]] == [1, 2] and len(doc["categories"]) == 2
     assert [a["id"] for a in doc["annotations"]] == [10, 11] and doc["licenses"] == [] and "score" not in doc["annotations"][1]
     assert doc["annotations"][0]["bbox"] == [1.0, 2.0, 30.0, 40.0] and doc["annotations"][0]["area"] == 1200.0
     back = coco.read_coco(spark, path)

@@ -47,7 +47,7 @@ def test_polygon_clip_matches_area_by_hand(spark):
 
 
 def test_metric_lines(spark):
-    line = "[2024] ppocr INFO: epoch: [3/100], global_step: 20, lr: 0.001, acc: 1, note: slow, bare"
+    line = "[2024] trainer INFO: epoch: [3/100], global_step: 20, lr: 0.001, acc: 1, note: slow, bare"
     rows = spark.range(1).select(F.explode(text.metric_pairs(F.lit(line))).alias("p")).select("p.*")
     got = {r["key"]: (r["k"], r["v"]) for r in rows.select("key", text.metric_kind(F.col("key"), F.col("text")).alias("k"), text.metric_number(F.col("key"), F.col("text")).alias("v")).collect()}
     assert got == {"epoch": ("int", 3.0), "global_step": ("int", 20.0), "lr": ("float", 0.001), "acc": ("int", 1.0), "note": ("string", None)}
