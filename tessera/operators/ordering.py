@@ -8,7 +8,7 @@ total per slice is carried on.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,15 +23,23 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sliced(df: DataFrame, order: Sequence[str | Column], name: str = "sliced") -> DataFrame:
+RowWork = Callable[[DataFrame], DataFrame]
+
+
+def sliced(
+    df: DataFrame, order: Sequence[str | Column], name: str = "sliced", then: RowWork | None = None
+) -> DataFrame:
     """Range-partition by ``order`` and store with ``slice_no`` and ``slice_pos``.
 
     ``order`` must be a total order.  Slices ascend along it; positions count
-    from 0 inside each slice.
+    from 0 inside each slice.  ``then`` is costly row-wise work (it may drop
+    rows, but not shuffle): it runs after the exchange, spread over all slices
+    and once only, while the bounds are sampled from the cheap rows before it.
     """
     order = [_col(c) for c in order]
+    spread = df.repartitionByRange(*order)
     marked = (
-        df.repartitionByRange(*order)
+        (spread if then is None else then(spread))
         .sortWithinPartitions(*order)
         .withColumn("slice_no", F.spark_partition_id())
         .withColumn("slice_pos", F.monotonically_increasing_id().bitwiseAND((1 << _MONOTONIC_BITS) - 1))
@@ -39,13 +47,15 @@ def sliced(df: DataFrame, order: Sequence[str | Column], name: str = "sliced") -
     return stage(marked, name)
 
 
-def dense_id(df: DataFrame, order: Sequence[str | Column], name: str = "id", start: int = 0) -> DataFrame:
-    """Consecutive ids from ``start`` along the total order ``order``.
+def dense_id(
+    df: DataFrame, order: Sequence[str | Column], name: str = "id", start: int = 0, then: RowWork | None = None
+) -> DataFrame:
+    """Consecutive ids from ``start`` along the total order ``order``, after the row-wise work ``then``.
 
     One range shuffle; the offsets table has one row per slice, so the
     broadcast is bounded by the number of shuffle partitions.
     """
-    rows = sliced(df, order, "dense-id")
+    rows = sliced(df, order, "dense-id", then)
     before = Window.orderBy("slice_no").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("slice_no")

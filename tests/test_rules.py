@@ -46,6 +46,19 @@ def test_polygon_clip_matches_area_by_hand(spark):
     assert clip([5, -5, 15, 5, 5, 15, -5, 5], 10, 10)[0] == 100.0  # a diamond whose sides pass through the corners
 
 
+def test_clipped_polygons_cover_the_whole_polygon(spark):
+    """Tiles without overlap share a polygon among them; pieces stay inside their tile."""
+    one = images(spark, (1, "a.jpg", 300, 300))
+    ring = [110.0, 40.0, 250.0, 90.0, 280.0, 220.0, 130.0, 260.0, 40.0, 150.0]
+    anns = spark.createDataFrame([(1, 1, 1, 40.0, 40.0, 240.0, 220.0)], ANN).withColumn("segmentation", F.array(F.array(*[F.lit(v) for v in ring])))
+    tiles = tiling.tile_polygons(anns, one, tiling.TileSpec(100, 100))
+    points = pg.to_points(F.col("segmentation")[0])
+    rows = tiles.select("ann_id", pg.shoelace_area(points).alias("area"), F.array_max(F.col("segmentation")[0]).alias("far")).collect()
+    whole = spark.range(1).select(pg.shoelace_area(pg.to_points(F.array(*[F.lit(v) for v in ring])))).first()[0]
+    assert len(rows) == 9 and sorted(r["ann_id"] for r in rows) == list(range(9))
+    assert sum(r["area"] for r in rows) == pytest.approx(whole) and max(r["far"] for r in rows) <= 100.0
+
+
 def test_metric_lines(spark):
     line = "[2024] trainer INFO: epoch: [3/100], global_step: 20, lr: 0.001, acc: 1, note: slow, bare"
     rows = spark.range(1).select(F.explode(text.metric_pairs(F.lit(line))).alias("p")).select("p.*")
