@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.polygons import let
 from tessera.operators.grouping import bounded_rows, broadcast_if_small
 from tessera.operators.ordering import running
+from tessera.operators.shapes import clip_boxes
 
 EPSILON = 1e-7  # fixed value: guards the micro scores against a zero denominator
 
@@ -348,3 +349,10 @@ def filter_valid_shapes(annotations: DataFrame, min_size: float = 1.0) -> DataFr
     if "segmentation" in annotations.columns:
         keep = keep & F.forall("segmentation", polygon_is_valid)
     return annotations.filter(keep)
+
+
+def repair_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame, min_size: float = 1.0) -> DataFrame:
+    """Annotations after the repair: boxes cut to their image, then everything still invalid or stray dropped."""
+    cut = clip_boxes(annotations, images, "shift")  # also drops annotations without an image
+    known = cut.join(broadcast_if_small(categories.select("category_id")), "category_id", "left_semi")
+    return filter_valid_shapes(known, min_size).select(*annotations.columns)

@@ -139,3 +139,13 @@ def test_validation_counts(spark):
         "invalid_box": 1, "invalid_polygon": 2, "unknown_image": 1, "unknown_category": 1, "class_beyond_count": 1,
         "duplicate_annotation_id": 1, "duplicate_image_id": 0, "too_few_images": 1, "label_absent": 1,
     }
+
+
+def test_repair_cuts_boxes_and_drops_the_rest(spark):
+    frames = images(spark, (1, "a.jpg", 10, 10))
+    cats = spark.createDataFrame([(1, "cat")], "category_id int, name string")
+    anns = spark.createDataFrame(
+        [(1, 1, 1, -1.0, 0.0, 5.0, 5.0), (2, 2, 1, 0.0, 0.0, 5.0, 5.0), (3, 1, 9, 0.0, 0.0, 5.0, 5.0), (4, 1, 1, 8.0, 8.0, 5.0, 5.0), (5, 1, 1, 9.5, 0.0, 5.0, 5.0)], ANN
+    )
+    out = {r["ann_id"]: (r["x"], r["w"]) for r in stats.repair_coco(frames, anns, cats).collect()}
+    assert out == {1: (0.0, 5.0), 4: (8.0, 2.0)}
