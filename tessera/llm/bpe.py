@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,9 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import add_columns, documents
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
+LONGEST_KEPT = 64
 #: Below this code point the word pattern gives the same pieces under every Unicode version in use.
 STABLE = "԰"
+_SEPARATOR = re.compile("[\x1c-\x1f]")  # spaces for str.split, but not for the vocabulary's pattern
+_SPACE = re.compile("[^\\S\x1c-\x1f]+")
 _NONE = 1 << 62
 
 
@@ -33,11 +37,11 @@ def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     if n < 2:
         return symbols
     symbols = list(symbols)
-    size = 1 << (n - 1).bit_length()
-    tree = [_NONE] * (2 * size)
+    size = 1 << (n - 2).bit_length()
     get = ranks.get
-    for i in range(n - 1):
-        rank = get((symbols[i], symbols[i + 1]))
+    tree = [_NONE] * (2 * size)
+    for i, pair in enumerate(zip(symbols, symbols[1:])):
+        rank = get(pair)
         if rank is not None:
             tree[size + i] = rank * n + i
     for i in range(size - 1, 0, -1):
@@ -48,37 +52,56 @@ def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
 
     def update(i: int, value: int) -> None:
         i += size
+        if tree[i] == value:
+            return
         tree[i] = value
         while i > 1:
+            other = tree[i ^ 1]
+            if other < value:
+                value = other
             i >>= 1
-            left, right = tree[2 * i], tree[2 * i + 1]
-            value = left if left < right else right
             if tree[i] == value:
                 return
             tree[i] = value
 
-    def pair(i: int, j: int) -> int:
-        rank = get((symbols[i], symbols[j]))
-        return _NONE if rank is None else rank * n + i
-
-    while tree[1] != _NONE:
-        i = tree[1] % n
+    while (root := tree[1]) != _NONE:
+        i = root % n
         j = after[i]
-        symbols[i] += symbols[j]
-        k = after[i] = after[j]
+        merged = symbols[i] = symbols[i] + symbols[j]
         symbols[j] = ""
-        update(j, _NONE)
+        k = after[i] = after[j]
         if k < n:
             before[k] = i
-            update(i, pair(i, k))
+            update(j, _NONE)
+            rank = get((merged, symbols[k]))
+            update(i, _NONE if rank is None else rank * n + i)
         else:
+            if j < size:
+                update(j, _NONE)
             update(i, _NONE)
         h = before[i]
         if h >= 0:
-            update(h, pair(h, i))
+            rank = get((symbols[h], merged))
+            update(h, _NONE if rank is None else rank * n + h)
     return [s for s in symbols if s]
 
 
+class _Chunks(dict):
+    """Results by chunk, computed when first asked for; long chunks are not kept."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, chunk: str):
+        made = self.make(chunk)
+        if len(chunk) <= LONGEST_KEPT:
+            if len(self) >= CACHE_PIECES:
+                self.clear()
+            self[chunk] = made
+        return made
+
+
 class Bpe:
     """Encoder and decoder for one vocabulary file with word ends."""
 
@@ -103,8 +126,8 @@ class Bpe:
         rest = [b for b in range(256) if b not in set(shown)]
         self.byte_char = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-        self.raw = lru_cache(CACHE_PIECES)(self._raw)
         self.piece = lru_cache(CACHE_PIECES)(self._piece)
+        self.chunks = _Chunks(self._chunk)
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one piece in its byte form."""
@@ -113,31 +136,36 @@ class Bpe:
         vocab = self.vocab
         return tuple(vocab[s] for s in merge([s for s in symbols if s in vocab], self.ranks))
 
-    def _raw(self, word: str) -> tuple[int, str, str]:
-        ids = self.piece("".join(map(self.byte_char.__getitem__, word.encode())))
-        return self._shown(ids)
+    def _chunk(self, chunk: str) -> tuple[int, str, str] | None:
+        """Ids of a text without a space; None where it has none."""
+        if chunk.isascii():
+            chunk = chunk.lower()
+            pieces = [chunk] if chunk.isalpha() else self.pattern.findall(chunk)
+            if not chunk.isprintable():
+                pieces = ["".join(map(self.byte_char.__getitem__, p.encode())) for p in pieces]
+        elif max(chunk := self.normalise(chunk)) < STABLE:
+            pieces = ["".join(map(self.byte_char.__getitem__, p.encode())) for p in self.pattern.findall(chunk)]
+        else:
+            pieces = [p for p, _ in self.pre_tokenize(chunk)]
+        return self._shown([i for p in pieces for i in self.piece(p)])
 
-    def _shown(self, ids: tuple[int, ...]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids))
+    def _shown(self, ids: list[int]) -> tuple[int, str, str] | None:
+        return (len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids))) if ids else None
 
     def _parts(self, text: str) -> Iterator[tuple[int, str, str]]:
+        """What the chunks between spaces give; neither normal form nor piece reaches over a space."""
         segments = self.special_pattern.split(text) if self.special_pattern else [text]
         for segment in segments:
             if segment in self.special:
-                yield self._shown((self.special[segment],))
+                yield self._shown([self.special[segment]])
             elif segment:
-                normal = self.normalise(segment)
-                if normal.isascii() or max(normal) < STABLE:
-                    yield from map(self.raw, self.pattern.findall(normal))
-                else:
-                    for piece, _ in self.pre_tokenize(normal):
-                        yield self._shown(self.piece(piece))
+                chunks = _SPACE.split(segment) if _SEPARATOR.search(segment) else segment.split()
+                yield from filter(None, map(self.chunks.__getitem__, chunks))
 
     def encode(self, text: str | None) -> list[int]:
         ids: list[int] = []
-        for n, shown, _ in self._parts(text or ""):
-            if n:
-                ids.extend(map(int, shown.split(" ")))
+        for _, shown, _ in self._parts(text or ""):
+            ids.extend(map(int, shown.split(" ")))
         return ids
 
     def decode(self, ids: list[int]) -> str:
@@ -147,8 +175,9 @@ class Bpe:
 
     def both(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, the ids as text, and the decoded text."""
-        parts = [p for p in self._parts(text or "") if p[0]]
-        return sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+        parts = list(self._parts(text or ""))
+        counts, ids, tokens = zip(*parts) if parts else ((), (), ())
+        return sum(counts), " ".join(ids), " ".join(tokens)
 
 
 @lru_cache(2)
