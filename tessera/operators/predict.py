@@ -28,7 +28,7 @@ def batch_predict(images: DataFrame, make_model: Callable[[], Callable], key: st
     """Ragged detections: one row per prediction of every image, and one error row per failing image.
 
     ``make_model()`` runs once per task and returns ``predict(list of inputs) ->
-    list of row lists``.  A batch that fails is tried image by image, so only the
+    list of row lists``.  A batch that fails, or gets fewer or more lists than images, is tried image by image, so only the
     failing image is skipped; its message is kept in ``error``.
     """
     fields = T._parse_datatype_string(schema).fieldNames()
@@ -39,7 +39,7 @@ def batch_predict(images: DataFrame, make_model: Callable[[], Callable], key: st
 
         def rows(keys: list, inputs: list) -> list[tuple]:
             try:
-                return [(k, *r, None) for k, rs in zip(keys, model(inputs)) for r in rs]
+                return [(k, *r, None) for k, rs in zip(keys, model(inputs), strict=True) for r in rs]
             except Exception as e:  # one bad image must not lose its batch
                 if len(keys) == 1:
                     return [(keys[0], *[None] * len(fields), str(e) or type(e).__name__)]
