@@ -9,9 +9,12 @@
     nearest neighbours.
 3.  Pairs are confirmed on the full sets, the longest common prefixes first; pairs whose
     ends are already in one component need no confirmation.
-4.  Regions with more members than ``NEIGHBOURS`` are swept again with the components
-    known so far, each row against the latest rows of every other component of its region,
-    until a sweep adds no link.
+4.  What the forest missed is found exactly.  In one order of all shingles, the seldom ones
+    first, two sets that reach the threshold share a shingle of their prefixes, the first
+    n - ceil(threshold * n) + 1 shingles.  The rows of a prefix shingle that lie in different
+    components meet in a join, rows with many partners split over tasks, and are confirmed if
+    their sizes and the places of the shingle leave room for the threshold.  The forest only
+    keeps this join small: pairs inside a component need no comparison.
 
 Null texts and texts without words have an empty set, link with nothing and are their own
 component.  A text of fewer words than a shingle is one shingle, the whole sequence.
@@ -34,7 +37,9 @@ THRESHOLD = 85
 TREES, DEPTH, MIN_DEPTH, NEIGHBOURS = 24, 8, 4, 4
 _A = np.random.default_rng(8).integers(1, 1 << 62, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
 _B = np.random.default_rng(9).integers(1, 1 << 62, TREES * DEPTH, dtype=np.uint64)
-_SLICE = 4096
+_SLICE = 512
+#: One set in SAMPLE, and at most FREQUENT shingles, set the order of the exact join; BLOCK rows of one shingle look for partners in a task.
+SAMPLE, FREQUENT, BLOCK = 16, 200_000, 1000
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -58,9 +63,7 @@ def keys(hashed: np.ndarray) -> list[bytes]:
     low = np.full(len(_A), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(hashed), _SLICE):  # a long text takes no more memory than a slice
         part = hashed[start : start + _SLICE]
-        for i in range(len(_A)):
-            mixed = part * _A[i] + _B[i]
-            low[i] = min(low[i], mixed.min())
+        low = np.minimum(low, (part * _A[:, None] + _B[:, None]).min(1))
     top = (low >> np.uint64(32)).astype(">u4")
     return [top[t * DEPTH : (t + 1) * DEPTH].tobytes() for t in range(TREES)]
 
@@ -73,7 +76,7 @@ def _common(a: bytes, b: bytes) -> int:
     return DEPTH
 
 
-def _sweep(forest: DataFrame, id_type: str, threshold: int, by_component: bool) -> DataFrame:
+def _sweep(forest: DataFrame, id_type: str, threshold: int) -> DataFrame:
     """Candidate pairs (a, b, depth) of a forest sorted by (tree, key) in each partition."""
     kind = to_arrow_type(forest.schema["id"].dataType)
 
@@ -81,28 +84,20 @@ def _sweep(forest: DataFrame, id_type: str, threshold: int, by_component: bool)
         import pyarrow as pa
 
         tree, recent, run_key = None, [], b""
-        latest: dict = {}
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("tree", "key", "id", "size", "component")])
+            rows = zip(*[batch.column(c).to_pylist() for c in ("tree", "key", "id", "size")])
             a, b, d = [], [], []
-            for t, key, i, n, c in rows:
+            for t, key, i, n in rows:
                 if t != tree or key[: MIN_DEPTH * 4] != run_key:
                     tree, run_key = t, key[: MIN_DEPTH * 4]
                     recent.clear()
-                    latest.clear()
-                near = recent
-                if by_component:
-                    near = [r for other, r in latest.items() if other != c]
-                for key2, i2, n2 in near:
+                for key2, i2, n2 in recent:
                     if 100 * min(n, n2) >= threshold * max(n, n2):
                         a.append(min(i, i2))
                         b.append(max(i, i2))
                         d.append(_common(key, key2))
-                if by_component:
-                    latest[c] = (key, i, n)
-                else:
-                    recent.append((key, i, n))
-                    del recent[:-NEIGHBOURS]
+                recent.append((key, i, n))
+                del recent[:-NEIGHBOURS]
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind), pa.array(d, pa.int32())], names=["a", "b", "depth"])
 
@@ -110,20 +105,89 @@ def _sweep(forest: DataFrame, id_type: str, threshold: int, by_component: bool)
     return pairs.groupBy("a", "b").agg(F.max("depth").alias("depth"))
 
 
-def _candidates(forest: DataFrame, id_type: str, threshold: int, by_component: bool) -> DataFrame:
+def _candidates(forest: DataFrame, id_type: str, threshold: int) -> DataFrame:
     """Sweep all trees, each range-partitioned by its whole keys, so that a crowded region is split.
 
-    Two neighbours on both sides of a cut meet in the other trees, whose cuts lie elsewhere.
+    Two neighbours on both sides of a cut meet in the other trees or in the exact join.
     """
     placed = forest.repartitionByRange("tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-    return _sweep(placed, id_type, threshold, by_component)
+    return _sweep(placed, id_type, threshold)
+
+
+def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, sorted, and how often each occurs in a sample: they only set the order of the join."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            parts = [np.frombuffer(h, np.uint64) for h in batch.column(0).to_pylist()]
+            key, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+
+    sample = sets.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0).select("hashes")
+    counted = sample.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counted.where("n > 1").orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()  # at most FREQUENT rows
+    key, n = top["shingle"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    order = np.argsort(key)
+    return key[order], n[order]
+
+
+def prefix(hashed: np.ndarray, frequent: np.ndarray, times: np.ndarray, threshold: int) -> np.ndarray:
+    """The seldom shingles of a set of which any set that reaches the threshold shares one, in the common order."""
+    n = len(hashed)
+    weight = np.zeros(n, np.int64)
+    if len(frequent):
+        place = np.minimum(np.searchsorted(frequent, hashed), len(frequent) - 1)
+        weight = np.where(frequent[place] == hashed, times[place], 0)
+    return hashed[np.argsort(weight, kind="stable")[: n - -(-threshold * n // 100) + 1]]
+
+
+def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
+    """(id, size, shingle, place) for each shingle of each set's prefix."""
+    sent = sets.sparkSession.sparkContext.broadcast(_frequent(sets))
+
+    def make():
+        frequent, times = sent.value
+        return lambda listed: [(prefix(np.frombuffer(h, np.uint64), frequent, times, threshold).view(np.int64).tolist(),) for h in listed]
+
+    kept = add_columns(sets.select("id", "size", "hashes"), "prefix array<long>", make, "hashes").drop("hashes")
+    return kept.select("id", "size", F.posexplode("prefix").alias("place", "shingle"))
+
+
+def _missed(prefixes: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
+    """All pairs (a, b) in different components that may reach the threshold by their prefixes.
+
+    Of two components one is not the least of the shingle, so only rows outside the least one
+    look for partners; they are dealt into blocks, and their partners are copied to each block.
+    """
+    rows = prefixes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = stage(rows, "prefixes")
+    mixed = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    mixed = stage(mixed.select("shingle", "lo", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    rows = stage(rows.join(mixed, "shingle"), "meeting")
+    left = rows.where("component <> lo").select(
+        "shingle", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("a"), F.col("size").alias("n"),
+        F.col("place").alias("i"), F.col("component").alias("ca"),
+    )
+    right = rows.select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("id").alias("b"), F.col("size").alias("m"),
+        F.col("place").alias("j"), F.col("component").alias("cb"), "lo",
+    )
+    room = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) * (100 + threshold) >= threshold * (F.col("n") + F.col("m"))
+    once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("lo")) | (F.col("a") < F.col("b")))
+    met = left.alias("l").join(right.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.block") == F.col("r.block")) & once & room)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links (a, b): pairs whose full sets reach the threshold."""
-    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("_x"))
-    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("_y"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    pairs = stage(pairs.select("a", "b"), "trial")
+    ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+    held = sets.join(ends, "id", "left_semi")  # only sets of a pair are moved
+    left = held.select(F.col("id").alias("a"), F.col("hashes").alias("_x"))
+    right = held.select(F.col("id").alias("b"), F.col("hashes").alias("_y"))
+    both = pairs.join(left, "a").join(right, "b")
     # the intersection is counted in a task per batch, on sorted arrays
     def make():
         def linked(xs, ys):
@@ -165,28 +229,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
         return lambda sets_: [([{"tree": t, "key": k} for t, k in enumerate(keys(np.frombuffer(s, np.uint64)))],) for s in sets_]
 
     trees = add_columns(sets, "trees array<struct<tree:int,key:binary>>", sign, "hashes").select("id", "size", F.explode("trees").alias("x"))
-    forest = stage(trees.select("id", "size", F.col("x.tree").alias("tree"), F.col("x.key").alias("key"), F.col("id").alias("component")), "forest")
-    pairs = stage(_candidates(forest, id_type, threshold, False), "pairs")
+    forest = stage(trees.select("id", "size", F.col("x.tree").alias("tree"), F.col("x.key").alias("key")), "forest")
+    pairs = stage(_candidates(forest, id_type, threshold), "pairs")
     best = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("n"), "depth", "a", "b"), F.struct(F.col("b").alias("n"), "depth", "a", "b")
     )).alias("p")).groupBy("p.n").agg(F.max(F.struct("p.depth", "p.a", "p.b")).alias("m")).select("m.a", "m.b").distinct()
-    links = stage(_confirm(best, sets, threshold), "links")
+    links = stage(_confirm(best, hashed, threshold), "links")
+    found = stage(components(links), "components")
+    links = stage(links.union(_confirm(_across(pairs.select("a", "b"), found), hashed, threshold)), "links")
+    found = stage(components(links), "components")
+    missed = stage(_missed(_prefixes(sets, threshold), found, threshold), "missed")
+    links = stage(links.union(_confirm(missed, hashed, threshold)), "links")
     found = stage(components(links), "components")
-    tried = pairs.select("a", "b")
-    while True:
-        left = _across(tried, found)
-        links = stage(links.union(_confirm(left, sets, threshold)), "links")
-        found = stage(components(links), "components")
-        labelled = forest.drop("component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        crowded = labelled.groupBy("tree", F.substring("key", 1, MIN_DEPTH * 4).alias("region")).agg(
-            F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where((F.col("n") > NEIGHBOURS + 1) & (F.col("lo") != F.col("hi"))).select("tree", "region")
-        again = labelled.withColumn("region", F.substring("key", 1, MIN_DEPTH * 4)).join(crowded, ["tree", "region"], "left_semi")
-        fresh = _candidates(again.select("id", "size", "tree", "key", "component"), id_type, threshold, True)
-        fresh = stage(fresh.select("a", "b").join(tried, ["a", "b"], "left_anti"), "fresh")
-        if fresh.isEmpty():
-            break
-        tried = stage(tried.union(fresh), "tried")
     members = hashed.select("id", "size", "digest").join(classes.drop("size"), "digest", "left")
     labels = found.withColumnRenamed("id", "class")
     result = members.join(labels, "class", "left").select(
