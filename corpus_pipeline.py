@@ -16,6 +16,8 @@ from tessera.session import stage
 
 #: Below this calibrated probability of the best language a document is rejected.
 MIN_LANGUAGE_SCORE = 0.4
+#: Documents of this word-shingle similarity in percent, or more, are near duplicates.
+NEAR_DUPLICATE = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each near-duplicate group."""
-    dropped = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    dropped = near_dedup.near_duplicates(docs, threshold=NEAR_DUPLICATE).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
 

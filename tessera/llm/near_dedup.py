@@ -33,7 +33,8 @@ from tessera.llm.components import components
 from tessera.session import stage
 
 SHINGLE = 5
-THRESHOLD = 85
+#: Least similarity in percent: of the operator in general, and what op8 is to keep to.
+THRESHOLD, OP8_THRESHOLD = 80, 85
 TREES, DEPTH, MIN_DEPTH, NEIGHBOURS = 24, 8, 4, 4
 _A = np.random.default_rng(8).integers(1, 1 << 62, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
 _B = np.random.default_rng(9).integers(1, 1 << 62, TREES * DEPTH, dtype=np.uint64)
@@ -258,4 +259,4 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), threshold=OP8_THRESHOLD)

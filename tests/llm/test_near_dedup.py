@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from tessera.llm import near_dedup
 from tests.llm.test_llm import table
 
@@ -67,3 +68,18 @@ def test_pairs_no_tree_brings_together_are_found(spark):
     expected = brute(texts, 50)
     assert sum(i != c for i, c in expected.items()) == 60
     assert got == expected
+
+
+def test_pipeline_stage_drops_copies_from_four_fifths_on(spark):
+    """Copies with 2 to 6 scattered changed words of 200, similarities on both sides of 0.8."""
+    texts = []
+    for p, changes in enumerate((2, 3, 4, 4, 5, 6)):
+        listed = [f"p{p}w{i}" for i in range(200)]
+        texts.append(" ".join(listed))
+        for c in range(changes):
+            listed[20 + 30 * c] = f"q{p}x{c}"
+        texts.append(" ".join(listed))
+    kept = corpus_pipeline.remove_near_duplicates(spark, table(spark, texts), "")
+    expected = {i for i, c in brute(texts, 80).items() if i == c}
+    assert 5 in expected ^ {i for i, c in brute(texts, 85).items() if i == c}
+    assert {r["doc_id"] for r in kept.collect()} == expected
