@@ -35,7 +35,7 @@ from tessera.session import remove_stage, stage_path, write_stage
 #: Least count of a phrase, its longest form in words, rows of a language, and the share in percent at which a longer phrase covers one.
 MIN_COUNT, LONGEST, FIRST, COVERED = 30, 4, 2000, 80
 #: Characters of text in a block, rows of a table that is broadcast, and parts of a language that are ranked on their own.
-BLOCK_CHARS, BROADCAST_ROWS, PARTS = 24_000_000, 1_000_000, 64
+BLOCK_CHARS, BROADCAST_ROWS, PARTS = 8_000_000, 1_000_000, 64
 _BREAKS = ".,;:!?\n\x0b\x0c\r"
 _TOKEN = re.compile(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BLOCK = "block long, cur binary, ids binary"
