@@ -35,7 +35,7 @@ from tessera.session import remove_stage, stage_path, write_stage
 #: Least count of a phrase, its longest form in words, rows of a language, and the share in percent at which a longer phrase covers one.
 MIN_COUNT, LONGEST, FIRST, COVERED = 30, 4, 2000, 80
 #: Characters of text in a block, rows of a table that is broadcast, and parts of a language that are ranked on their own.
-BLOCK_CHARS, BROADCAST_ROWS, PARTS = 8_000_000, 1_000_000, 64
+BLOCK_CHARS, BROADCAST_ROWS, PARTS = 4_000_000, 1_000_000, 64
 _BREAKS = ".,;:!?\n\x0b\x0c\r"
 _TOKEN = re.compile(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BLOCK = "block long, cur binary, ids binary"
@@ -86,7 +86,7 @@ class _Block:
         kinds = [pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64()]
         own = [[number], [cur.tobytes()], [None], [None], [None], [None]]
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(own, kinds)], names=names)
-        step = 100_000
+        step = 50_000
         for at in range(0, n, step):
             to = min(n, at + step)
             listed = [
@@ -144,8 +144,8 @@ def _each_pair(blocks: DataFrame, numbered: bool) -> DataFrame:
         for batch in batches:
             for number, cur, ids in zip(*[batch.column(c).to_pylist() for c in ("block", "cur", "ids")]):
                 left, right, n, _, _ = neighbours(np.frombuffer(cur, np.int32), np.frombuffer(ids, np.int64))
-                for at in range(0, len(n), 200_000):
-                    part = slice(at, at + 200_000)
+                for at in range(0, len(n), 50_000):
+                    part = slice(at, at + 50_000)
                     l, r = pa.array(left[part]), pa.array(right[part])
                     if numbered:
                         local = pa.array(np.arange(at, at + len(l), dtype=np.int32))
