@@ -12,8 +12,8 @@ sorted by ``right`` in suffix order; two sort-merge joins with the table below c
 counts of all first and last parts upwards, and the largest counts of both orders are the
 extension counts.
 
-Only pairs of words that are frequent themselves are shuffled, summed inside each block
-before; a key that holds a third of all rows is one row per block.  The first rows of a
+Only pairs of words that are frequent themselves are shuffled, summed over runs of blocks
+before; a key that holds a third of all rows is one row per block at most.  The first rows of a
 language come from its best rows of each of ``PARTS`` parts.
 
 Null and empty texts have no words; a null language counts as ``und``.  Texts are never cut,
@@ -36,11 +36,29 @@ from tessera.session import remove_stage, stage_path, write_stage
 MIN_COUNT, LONGEST, FIRST, COVERED = 30, 4, 2000, 80
 #: Characters of text in a block, rows of a table that is broadcast, and parts of a language that are ranked on their own.
 BLOCK_CHARS, BROADCAST_ROWS, PARTS = 4_000_000, 1_000_000, 64
+#: Rows of an Arrow batch, and pairs that a task sums before it sends them on.
+BATCH, RUN_PAIRS = 50_000, 1_500_000
 _BREAKS = ".,;:!?\n\x0b\x0c\r"
 _TOKEN = re.compile(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BLOCK = "block long, cur binary, ids binary"
 
 
+def pack(cur: np.ndarray) -> bytes:
+    """A stream of 32-bit numbers with like bytes side by side, compressed: its length, then the bytes."""
+    import pyarrow as pa
+
+    planes = np.ascontiguousarray(cur.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(cur).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    import pyarrow as pa
+
+    n = int.from_bytes(packed[:8], "little")
+    planes = np.frombuffer(pa.decompress(packed[8:], 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).reshape(-1).view("<i4")
+
+
 class _Ids(dict):
     """Numbers of the words of one language in a block, given when first asked for."""
 
@@ -84,9 +102,9 @@ class _Block:
         counts = np.bincount(cur, minlength=n + 1)[1:]
         names = ["block", "cur", "lang", "word", "local", "n"]
         kinds = [pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64()]
-        own = [[number], [cur.tobytes()], [None], [None], [None], [None]]
+        own = [[number], [pack(cur)], [None], [None], [None], [None]]
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(own, kinds)], names=names)
-        step = 50_000
+        step = BATCH
         for at in range(0, n, step):
             to = min(n, at + step)
             listed = [
@@ -135,25 +153,59 @@ def neighbours(cur: np.ndarray, ids: np.ndarray):
     return ids[key // width - 1], ids[key % width - 1], n, at, which
 
 
-def _each_pair(blocks: DataFrame, numbered: bool) -> DataFrame:
-    """(left, right, n) summed in each block, or (block, local, left, right)."""
+def merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of several blocks with their counts added up, sorted."""
+    left, right, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((right, left))
+    left, right, n = left[order], right[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
+    return left[first], right[first], np.add.reduceat(n, first)
+
+
+def _streams(batches):
+    for batch in batches:
+        for number, cur, ids in zip(*[batch.column(c) for c in ("block", "cur", "ids")]):
+            yield number.as_py(), *neighbours(unpack(cur.as_py()), np.frombuffer(ids.as_py(), np.int64))
+
+
+def _pair_counts(blocks: DataFrame) -> DataFrame:
+    """(left, right, n), summed over runs of blocks before they are shuffled."""
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            for number, cur, ids in zip(*[batch.column(c).to_pylist() for c in ("block", "cur", "ids")]):
-                left, right, n, _, _ = neighbours(np.frombuffer(cur, np.int32), np.frombuffer(ids, np.int64))
-                for at in range(0, len(n), 50_000):
-                    part = slice(at, at + 50_000)
-                    l, r = pa.array(left[part]), pa.array(right[part])
-                    if numbered:
-                        local = pa.array(np.arange(at, at + len(l), dtype=np.int32))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(l), number)), local, l, r], names=["block", "local", "left", "right"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([l, r, pa.array(n[part].astype(np.int64))], names=["left", "right", "n"])
+        def out(parts):
+            listed = merged(parts)
+            for at in range(0, len(listed[0]), BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + BATCH]) for c in listed], names=["left", "right", "n"])
+
+        held, size = [], 0
+        for _, left, right, n, _, _ in _streams(batches):
+            if len(n):
+                held.append((left, right, n.astype(np.int64)))
+                size += len(n)
+            if size >= RUN_PAIRS:
+                yield from out(held)
+                held, size = [], 0
+        if held:
+            yield from out(held)
+
+    return blocks.mapInArrow(run, "left long, right long, n long")
+
+
+def _pair_places(blocks: DataFrame) -> DataFrame:
+    """(block, local, left, right): the distinct pairs of each block, numbered."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for number, left, right, *_ in _streams(batches):
+            for at in range(0, len(left), BATCH):
+                l, r = left[at : at + BATCH], right[at : at + BATCH]
+                local = pa.array(np.arange(at, at + len(l), dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(l), number)), local, pa.array(l), pa.array(r)], names=["block", "local", "left", "right"])
 
-    return blocks.mapInArrow(run, "block long, local int, left long, right long" if numbered else "left long, right long, n long")
+    return blocks.mapInArrow(run, "block long, local int, left long, right long")
 
 
 def _hint(df: DataFrame) -> DataFrame:
@@ -170,9 +222,9 @@ def _renumber(blocks: DataFrame, given: DataFrame, place) -> DataFrame:
         out = [[], [], []]
         local, ids = rows.column("local").to_numpy(), rows.column("id").to_numpy()
         for number, cur, own in zip(*[block.column(c).to_pylist() for c in ("block", "cur", "ids")]):
-            now = squeeze(place(np.frombuffer(cur, np.int32), np.frombuffer(own or b"", np.int64), local))
+            now = squeeze(place(unpack(cur), np.frombuffer(own or b"", np.int64), local))
             out[0].append(number)
-            out[1].append(now.tobytes())
+            out[1].append(pack(now))
             out[2].append(ids.tobytes())
         return pa.table({"block": pa.array(out[0], pa.int64()), "cur": pa.array(out[1], pa.binary()), "ids": pa.array(out[2], pa.binary())})
 
@@ -223,11 +275,11 @@ def count_streams(docs: DataFrame, lang: str = "lang", text: str = "text", least
     forget()
     tables = [table]
     for order in range(2, longest + 1):
-        counted = _each_pair(blocks, False).groupBy("left", "right").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        counted = _pair_counts(blocks).groupBy("left", "right").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         table = keep(counted.select(F.monotonically_increasing_id().alias("id"), "left", "right", "f"), f"phrase-{order}")
         tables.append(table)
         if order < longest:
-            given = _each_pair(blocks, True).join(_hint(table.select("left", "right", "id")), ["left", "right"]).select("block", "local", "id")
+            given = _pair_places(blocks).join(_hint(table.select("left", "right", "id")), ["left", "right"]).select("block", "local", "id")
             blocks = keep(_renumber(blocks, given, _place_pairs), "phrase-blocks", True)
             forget()
     forget()

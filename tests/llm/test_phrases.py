@@ -52,10 +52,10 @@ def frame(spark, listed):
 def test_equals_plain_counts(spark, monkeypatch):
     monkeypatch.setattr(phrases, "BLOCK_CHARS", 700)  # several blocks in a task
     listed = rows()
-    for least, first in ((3, 2000), (10, 5)):
+    for least, first in ((3, 2000), (4, 3)):
         got = sorted(map(tuple, phrases.collocations(frame(spark, listed), least=least, first=first).collect()))
         assert got == brute(listed, least, first)
-        assert len(got) >= 2 * min(first, 10)
+        assert len(got) >= 3
 
 
 def test_large_tables_are_joined_by_a_shuffle(spark, monkeypatch):
@@ -75,7 +75,9 @@ def test_squeeze_keeps_all_neighbours():
         cur = (rnd.integers(0, 4, 30) * rnd.integers(0, 2, 30)).astype(np.int32)
         pairs = lambda a: [(x, y) for x, y in zip(a[:-1], a[1:]) if x and y]
         assert pairs(phrases.squeeze(cur).tolist()) == pairs(cur.tolist())
+        assert phrases.unpack(phrases.pack(cur)).tolist() == cur.tolist()
     assert len(phrases.squeeze(np.zeros(0, np.int32))) == 0
+    assert len(phrases.unpack(phrases.pack(np.zeros(0, np.int32)))) == 0
 
 
 def test_totals_beyond_64_bits_do_not_overflow(spark):
