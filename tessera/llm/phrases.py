@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ascii_lower, documents
-from tessera.session import remove_stage, stage_path, write_stage
+from tessera.session import remove_stage, stage, stage_path, write_stage
 
 #: Least count of a phrase, its longest form in words, rows of a language, and the share in percent at which a longer phrase covers one.
 MIN_COUNT, LONGEST, FIRST, COVERED = 30, 4, 2000, 80
@@ -303,7 +303,7 @@ def collocations(
     below = tables[0].select("id", "lang", F.array("word").alias("words"), "f", none.alias("firsts"), none.alias("lasts"))
     listed = None
     for order, table in enumerate(tables[1:], 2):
-        below = _above(below, table)
+        below = stage(_above(below, table), "phrase-parts")  # read by its own rows and both joins of the next order
         rows = below.withColumn("order", F.lit(order))
         if order < len(tables):
             longer = tables[order]

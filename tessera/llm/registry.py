@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm.bpe import op1_bpe
+from tessera.llm.cross_tokens import op11_cross_tokens
 from tessera.llm.decontaminate import op10_decontaminate
 from tessera.llm.language_id import op2_language_id
 from tessera.llm.licenses import op3_licenses
@@ -18,7 +19,7 @@ from tessera.llm.url_rules import OP9_SQL, op9_url_rules
 def queries() -> dict:
     listed = (
         op1_bpe, op2_language_id, op3_licenses, op4_lm_score, op5_pii,
-        op6_token_counts, op7_quality, op8_near_dedup, op9_url_rules, op10_decontaminate, op12_phrases,
+        op6_token_counts, op7_quality, op8_near_dedup, op9_url_rules, op10_decontaminate, op11_cross_tokens, op12_phrases,
     )
     return {f.__name__: f for f in listed}
 
