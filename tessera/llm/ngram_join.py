@@ -7,7 +7,7 @@
 2.  Skipping in the index: the list of a prefix shingle is cut into blocks of equal set size
     and place of the shingle.  Size and place bound the overlap a block can have with another,
     so whole blocks are joined or skipped before any member is looked at.  A parity signature
-    of each set bounds the difference of the pairs that are left.
+    of each set bounds the difference of the distinct pairs that are left.
 3.  Skipping of answers: in a few rounds each list elects a leader among the sets that no
     leader answered yet, the smallest node of its fullest block.  The other sets are compared
     with the leader on their full shingles; one that is near it keeps the difference.  Within
@@ -36,20 +36,47 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import add_columns, documents
+from tessera.llm.common import add_columns, ascii_lower, documents, words
 from tessera.llm.components import components
-from tessera.llm.near_dedup import shingles
 from tessera.session import stage
 
 SHINGLE, THRESHOLD = 3, 90
 #: Counters of the sketch, shingles a task sorts at once for it, and longs of a signature.
-COUNTERS, RUN, LONGS = 1 << 20, 2_000_000, 4
+COUNTERS, RUN, LONGS = 1 << 20, 2_000_000, 16
 #: How much less similar than a link an answer may be, in percent; rounds of leaders; lists with fewer open sets elect none.
-NEAR, ROUNDS, OPEN = 10, 3, 3
+NEAR, ROUNDS, OPEN = 10, 3, 8
+#: Words whose hashes a task remembers.
+WORDS = 200_000
 #: Sets whose texts are fetched by sending their ids to every task; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        self[word] = hashed = xxhash.xxh3_64_intdigest(word)
+        return hashed
+
+
+class Shingler:
+    """Sorted distinct 64-bit hashes of the word shingles of one text after another."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.known = size, _Hashes()
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        listed = words(ascii_lower(text)) if text else []
+        if len(listed) < self.size:
+            return np.array([xxhash.xxh3_64_intdigest(" ".join(listed))] if listed else [], np.uint64)
+        if len(self.known) > WORDS:
+            self.known.clear()
+        codes = np.fromiter(map(self.known.__getitem__, listed), np.uint64, len(listed))
+        mixed = np.zeros(len(listed) - self.size + 1, np.uint64)
+        for k in range(self.size):
+            mixed = (mixed + codes[k : k + len(mixed)]) * np.uint64(0xD6E8FEB86659FD93)
+            mixed ^= mixed >> np.uint64(32)
+        return np.unique(mixed)
+
+
 def _sketch(rows: DataFrame, size: int) -> np.ndarray:
     """Counters of the shingles that occur in several texts of a run, over all texts."""
 
@@ -62,10 +89,10 @@ def _sketch(rows: DataFrame, size: int) -> np.ndarray:
             at, first = np.unique(key, return_index=True)
             return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(np.add.reduceat(n, first).astype(np.int64) if len(n) else n)], names=["at", "n"])
 
-        parts, held = [], 0
+        parts, held, shingles = [], 0, Shingler(size)
         for batch in batches:
             for text in batch.column(0):
-                parts.append(shingles(text.as_py(), size))
+                parts.append(shingles(text.as_py()))
                 held += len(parts[-1])
                 if held >= RUN:
                     yield out(parts)
@@ -96,10 +123,12 @@ def _prefixes(rows: DataFrame, sketch: np.ndarray, size: int, threshold: int) ->
     sent = rows.sparkSession.sparkContext.broadcast(sketch)  # COUNTERS numbers of 4 bytes
 
     def make():
+        shingles = Shingler(size)
+
         def each(texts):
             out = []
             for text in texts:
-                hashed = shingles(text, size)
+                hashed = shingles(text)
                 n = len(hashed)
                 out.append((n, xxhash.xxh3_128_digest(hashed.tobytes()) if n else None, prefix(hashed, sent.value, threshold).tobytes() if n else None, signature(hashed).tolist()))
             return out
@@ -136,6 +165,12 @@ class _Sets:
     def __init__(self, rows: DataFrame, nodes: DataFrame, size: int) -> None:
         self.rows, self.nodes, self.size = rows, nodes, size
 
+    def close(self, pairs: DataFrame, near: int) -> DataFrame:
+        """The pairs whose signatures leave room for the similarity ``near``."""
+        first = self.nodes.select(F.col("node").alias("a"), F.col("size").alias("_n"), F.col("sig").alias("_s"))
+        second = self.nodes.select(F.col("node").alias("b"), F.col("size").alias("_m"), F.col("sig").alias("_t"))
+        return pairs.join(first, "a").join(second, "b").where(_few("_s", "_t", "_n", "_m", near)).select(pairs.columns)
+
     def compare(self, pairs: DataFrame, near: int) -> DataFrame:
         """(a, b, n, m, d): pairs (a, b) of at least the similarity ``near``, and the shingles that only one of them has."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -147,7 +182,8 @@ class _Sets:
         size = self.size
 
         def make():
-            return lambda texts: [((h := shingles(t, size).tobytes()), xxhash.xxh3_128_digest(h)) for t in texts]
+            shingles = Shingler(size)
+            return lambda texts: [((h := shingles(t).tobytes()), xxhash.xxh3_128_digest(h)) for t in texts]
 
         sets = add_columns(held, "set binary, digest binary", make, "text").select("set", "digest")
         sets = stage(sets.join(wanted.select("node", "digest"), "digest").groupBy("node").agg(F.first("set").alias("set")), "sets")
@@ -224,10 +260,10 @@ def _rest(index: DataFrame, answered: DataFrame, found: DataFrame, threshold: in
     met = p.join(q, (F.col("p.token") == F.col("q.token")) & room & differ).select(
         F.col("p.token").alias("token"), F.col("p.size").alias("size"), F.col("p.place").alias("place"), F.col("q.size").alias("size_b"), F.col("q.place").alias("place_b")
     )
-    left = rows.where("open").select("token", "size", "place", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("sig").alias("sa"), F.col("x").alias("xa"))
-    right = rows.select("token", F.col("size").alias("size_b"), F.col("place").alias("place_b"), F.col("node").alias("b"), F.col("c").alias("cb"), F.col("sig").alias("sb"), "x", F.col("open").alias("ob"))
+    left = rows.where("open").select("token", "size", "place", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("x").alias("xa"))
+    right = rows.select("token", F.col("size").alias("size_b"), F.col("place").alias("place_b"), F.col("node").alias("b"), F.col("c").alias("cb"), "x", F.col("open").alias("ob"))
     family = F.coalesce(F.col("xa") == F.col("x"), F.lit(False))
-    once = (F.col("ca") != F.col("cb")) & ~family & (~F.col("ob") | (F.col("a") < F.col("b"))) & _few("sa", "sb", "size", "size_b", threshold)
+    once = (F.col("ca") != F.col("cb")) & ~family & (~F.col("ob") | (F.col("a") < F.col("b")))
     pairs = met.join(left, ["token", "size", "place"]).join(right, ["token", "size_b", "place_b"]).where(once)
     return pairs.select("a", "b", "x").distinct()
 
@@ -247,20 +283,24 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
 
     entries = stage(_index(nodes), "entries")
     shared = entries.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    index = entries.join(shared, "token").join(nodes.select("node", "size", "sig"), "node")
+    index = entries.join(shared, "token").join(nodes.select("node", "size"), "node")
     index = stage(index, "index")
 
     open_ = index
     answers = answered = None
     links = None
     for turn in range(ROUNDS):
-        blocks = open_.groupBy("token", "size", "place").agg(F.count("*").alias("k"), F.min("node").alias("node"), F.min_by("sig", "node").alias("sig"))
-        leaders = blocks.groupBy("token").agg(F.sum("k").alias("open"), F.max(F.struct("k", (-F.col("node")).alias("o"), "size", "sig")).alias("l")).where(F.col("open") >= OPEN)
-        leaders = leaders.select("token", (-F.col("l.o")).alias("x"), F.col("l.size").alias("n"), F.col("l.sig").alias("s"))
-        tried = stage(open_.join(leaders, "token").where(_few("s", "sig", "n", "size", near)).select("token", "x", "node"), "tried")
-        pairs = stage(tried.where("x <> node").select(F.col("x").alias("a"), F.col("node").alias("b")).distinct(), "trials")
+        blocks = open_.groupBy("token", "size", "place").agg(F.count("*").alias("k"), F.min("node").alias("node"))
+        leaders = blocks.groupBy("token").agg(F.sum("k").alias("open"), F.max(F.struct("k", (-F.col("node")).alias("o"), "size")).alias("l")).where(F.col("open") >= OPEN)
+        leaders = leaders.select("token", (-F.col("l.o")).alias("x"), F.col("l.size").alias("n"))
+        alike = 100 * F.least("n", "size") >= near * F.greatest("n", "size")
+        tried = stage(open_.join(leaders, "token").where(alike).select("token", "x", "node"), "tried")
+        pairs = tried.where("x <> node").select(F.col("x").alias("a"), F.col("node").alias("b")).distinct()
         if answers is not None:
             pairs = pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = stage(sets.close(pairs, near), "trials")
+        if turn and pairs.isEmpty():
+            break
         new = sets.compare(pairs, near)
         answers = stage(new if answers is None else answers.union(new), "answers")
         known = answers.select(F.col("a").alias("x"), F.col("b").alias("node")).union(tried.where("x = node").select("x", "node")).distinct()
@@ -272,7 +312,7 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     links = stage(links.union(_family_links(answers, found, threshold)), "links")
     found = stage(components(links), "components")
 
-    rest = stage(_rest(index, answered, found, threshold), "rest-pairs")
+    rest = stage(sets.close(_rest(index, answered, found, threshold), threshold), "rest-pairs")
     derived = stage(_derived(rest.select("x", "a", "b"), answers, threshold), "derived")
     full = derived.where("linked is null").select("a", "b").distinct().join(derived.where("linked is not null").select("a", "b"), ["a", "b"], "left_anti")
     more = _linked(sets.compare(stage(full, "full"), threshold), threshold)

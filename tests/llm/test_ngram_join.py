@@ -1,15 +1,19 @@
 """The n-gram join against brute force: crowded groups, chains, short texts, odd rows."""
 
 import random
+import re
 
 import numpy as np
 
 from tessera.llm import ngram_join
-from tessera.llm.near_dedup import shingles
 
 
 def brute(rows, size=3, threshold=90):
-    sets = [set(shingles(t, size).tolist()) for _, t in rows]
+    def grams(text):
+        w = re.findall("[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set())
+
+    sets = [grams(t) for _, t in rows]
     group = list(range(len(rows)))
     for b in range(len(rows)):
         for a in range(b):
