@@ -225,6 +225,20 @@ SQL = {
         "annotations",
     ),
 }
+# the octagons' rows, cut at every start and end of a row; the smallest instance that covers a piece is on top
+SQL["visible_pixels"] = fx.with_ctes(
+    """WITH r AS (SELECT *, unnest(range(CAST(y AS BIGINT), CAST(y + h AS BIGINT))) AS row FROM annotations),
+    i AS (SELECT *, row + 0.5::DOUBLE AS c, x + w*0.25 AS xl, x + w*0.75 AS xr, x + w AS xe, y + h*0.25 AS yu, y + h*0.75 AS yl, y + h AS ye FROM r),
+    l AS (SELECT *, CASE WHEN c < yu THEN x + (c - yu)*(xl - x)/(y - yu) WHEN c < yl THEN x ELSE xl + (c - ye)*(x - xl)/(yl - ye) END AS a,
+                 CASE WHEN c < yu THEN xr + (c - y)*(xe - xr)/(yu - y) WHEN c < yl THEN xe ELSE xe + (c - yl)*(xr - xe)/(ye - yl) END AS b FROM i),
+    e AS (SELECT image_id, ann_id, row, w*h AS area, CAST(ceil(a - 0.5) AS BIGINT) AS s, CAST(ceil(b - 0.5) AS BIGINT) AS t FROM l),
+    runs AS (SELECT * FROM e WHERE t > s),
+    cuts AS (SELECT image_id, row, s AS a FROM runs UNION SELECT image_id, row, t FROM runs),
+    pieces AS (SELECT image_id, row, a, lead(a) OVER (PARTITION BY image_id, row ORDER BY a) AS b FROM cuts),
+    top AS (SELECT p.image_id, p.row, a, b, arg_min(ann_id, (area, -ann_id)) AS ann_id FROM pieces p JOIN runs u ON u.image_id = p.image_id AND u.row = p.row AND s <= a AND t >= b GROUP BY ALL)
+    SELECT image_id, ann_id, CAST(sum(b - a) AS BIGINT) AS pixels FROM top GROUP BY 1, 2""",
+    "annotations",
+)
 from tessera.plans.similarity import SQL as _SIMILARITY_SQL  # noqa: E402
 
 SQL["stream_novelty"] = _SIMILARITY_SQL["novelty_global"]
