@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import add_columns, documents
+from tessera.session import stage
 
 BLOCK = 1024
 
@@ -50,6 +51,7 @@ def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
         .withColumn("_tokens", F.col("n_tokens") * F.col("n_docs"))
         .withColumn("_block", F.floor(F.col("n_tokens") / BLOCK))
     )
+    counts = stage(counts, "length-counts")  # read twice: documents are encoded once
     blocks = counts.groupBy("_block").agg(F.sum("n_docs").alias("_d"), F.sum("_tokens").alias("_t"))
     above = Window.orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
