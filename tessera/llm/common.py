@@ -37,12 +37,10 @@ def add_columns(df: DataFrame, added: str, make, *inputs: str) -> DataFrame:
     the input columns, as Python lists, to a list of rows.
     """
     fields = StructType.fromDDL(added)
-    names = [f"__in{i}" for i in range(len(inputs))]
-    while set(names) & set(df.columns):
-        names = [f"_{name}" for name in names]
     carried = [c for c in df.columns if c not in fields.names]
-    kept = df.select(*[F.col(f"`{c}`") for c in carried], *[F.col(f"`{c}`").alias(name) for c, name in zip(inputs, names)])
+    kept = df.select(*[F.col(f"`{c}`") for c in [*carried, *inputs]]).toDF(*[f"_{i}" for i in range(len(carried) + len(inputs))])
     schema = StructType([*[df.schema[c] for c in carried], *fields.fields])
+    n = len(carried)
 
     def run(batches):
         import pyarrow as pa
@@ -51,8 +49,8 @@ def add_columns(df: DataFrame, added: str, make, *inputs: str) -> DataFrame:
         types = [to_arrow_type(f.dataType) for f in fields.fields]
         function = make()
         for batch in batches:
-            rows = function(*[batch.column(name).to_pylist() for name in names])
-            columns = [batch.column(c) for c in carried]
+            rows = function(*[batch.column(n + i).to_pylist() for i in range(len(inputs))])
+            columns = [batch.column(i) for i in range(n)]
             columns += [pa.array([r[k] for r in rows], type=t) for k, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
