@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def ascii_lower(text: str) -> str:
     """Lower-case A-Z only."""
-    return text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
+    return text.lower() if text.isascii() else text.encode().lower().decode()  # bytes know no other letters
 
 
 def words(text: str | None) -> list[str]:

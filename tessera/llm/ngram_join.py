@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import add_columns, ascii_lower, documents, words
+from tessera.llm.common import add_columns, documents
 from tessera.llm.components import components
 from tessera.session import stage
 
@@ -46,13 +46,13 @@ COUNTERS, RUN, LONGS = 1 << 20, 2_000_000, 16
 #: How much less similar than a link an answer may be, in percent; rounds of leaders; lists with fewer open sets elect none.
 NEAR, ROUNDS, OPEN = 10, 3, 8
 #: Words whose hashes a task remembers.
-WORDS = 200_000
+WORDS = 400_000
 #: Sets whose texts are fetched by sending their ids to every task; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 
 class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = hashed = xxhash.xxh3_64_intdigest(word)
         return hashed
 
@@ -64,9 +64,9 @@ class Shingler:
         self.size, self.known = size, _Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        listed = words(ascii_lower(text)) if text else []
+        listed = text.encode().lower().split() if text else []  # of bytes: A-Z and the white space of the contract only
         if len(listed) < self.size:
-            return np.array([xxhash.xxh3_64_intdigest(" ".join(listed))] if listed else [], np.uint64)
+            return np.array([xxhash.xxh3_64_intdigest(b" ".join(listed))] if listed else [], np.uint64)
         if len(self.known) > WORDS:
             self.known.clear()
         codes = np.fromiter(map(self.known.__getitem__, listed), np.uint64, len(listed))
@@ -74,7 +74,8 @@ class Shingler:
         for k in range(self.size):
             mixed = (mixed + codes[k : k + len(mixed)]) * np.uint64(0xD6E8FEB86659FD93)
             mixed ^= mixed >> np.uint64(32)
-        return np.unique(mixed)
+        mixed.sort()
+        return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
 def _sketch(rows: DataFrame, size: int) -> np.ndarray:
