@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -11,10 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.greedy import serial_choice
-from tessera.operators.grouping import bounded_rows, broadcast_if_small
+from tessera.operators.grouping import broadcast_if_small
 from tessera.operators.nms import cap_per_image
 from tessera.operators.ordering import running, sliced
-from tessera.operators.overlap import crowd_iou_join, iou_join
+from tessera.operators.masks import run_areas
+from tessera.operators.overlap import crowd_iou_join, iou_join, mask_overlaps
 from tessera.session import stage
 
 # The standard evaluation grid.
@@ -29,6 +31,7 @@ MAX_DETECTIONS = (1, 10, 100)
 RECALL_STEPS = 100  # 101 sampling points 0, 0.01, ..., 1
 VOC07_STEPS = 10  # 11 sampling points 0, 0.1, ..., 1
 MAX_IOU = 1 - 1e-10
+ALL_CLASSES = -1  # class number of an evaluation over all classes together
 EPS = 2.220446049250313e-16
 
 
@@ -275,16 +278,51 @@ def _outside(area: Column, low: float, high: float) -> Column:
     return (area < low) | (area > high)
 
 
-def coco_pairs(dets: DataFrame, truths: DataFrame, thresholds: Sequence[float], max_dets: int) -> tuple[DataFrame, DataFrame]:
-    """Detections capped per image and class, and their pairs over the lowest threshold."""
+def _truth_area(truths: DataFrame) -> Column:
+    """The annotation's own area, which its polygon may make smaller than its box; the box without one."""
+    box = F.col("w") * F.col("h")
+    return F.coalesce(F.col("area").cast("double"), box) if "area" in truths.columns else box
+
+
+class MaskRuns(NamedTuple):
+    """Run rows of both sides, for overlap of masks instead of boxes; no pixel twice in a mask."""
+
+    dets: DataFrame  # (image_id, det_id, row, start, end)
+    truths: DataFrame  # (image_id, ann_id, row, start, end)
+
+
+def _mask_pairs(dets: DataFrame, truths: DataFrame, masks: MaskRuns, keys: Sequence[str]) -> DataFrame:
+    """Pairs with their mask IoU; overlap with a crowd is measured against the detection's area only."""
+
+    def classed(runs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+        return runs.join(rows.select(*keys, name), ["image_id", name]).withColumnRenamed(name, "mask_id")
+
+    met = mask_overlaps(classed(masks.dets, dets, "det_id"), classed(masks.truths, truths, "ann_id"), keys)
+    a = dets.select("image_id", F.col("det_id").alias("a_mask"), F.col("score").alias("a_score"))
+    b = truths.select("image_id", F.col("ann_id").alias("b_mask"), F.col("iscrowd").alias("b_iscrowd"), F.col("area").alias("b_truth_area"))
+    either = F.when(F.col("b_iscrowd") == 1, F.col("a_area")).otherwise(F.col("a_area") + F.col("b_area") - F.col("common"))
+    return met.join(a, ["image_id", "a_mask"]).join(b, ["image_id", "b_mask"]).select(
+        *keys, F.col("a_mask").alias("a_det_id"), "a_score", F.col("b_mask").alias("b_ann_id"), "b_iscrowd", F.col("b_truth_area").alias("b_area"),
+        (F.col("common") / either).alias("iou"),
+    )
+
+
+def coco_pairs(
+    dets: DataFrame, truths: DataFrame, thresholds: Sequence[float], max_dets: int, masks: MaskRuns | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Detections capped per image and class, with ``det_area``, and their pairs over the lowest threshold."""
     keys = ["image_id", "category_id"]
     order = [F.col("score").desc(), F.col("det_id")]
     capped = cap_per_image(dets, max_dets, order, tuple(keys), name="det_rank")
-    pairs = crowd_iou_join(
-        capped.select(*keys, "det_id", "score", "x", "y", "w", "h"),
-        truths.select(*keys, "ann_id", "iscrowd", "x", "y", "w", "h"),
-        keys,
-    )
+    truths = truths.select(*keys, "ann_id", "iscrowd", "x", "y", "w", "h", _truth_area(truths).alias("area"))
+    if masks is None:
+        pairs = crowd_iou_join(capped.select(*keys, "det_id", "score", "x", "y", "w", "h"), truths, keys)
+        capped = capped.withColumn("det_area", F.col("w") * F.col("h"))
+    else:
+        pairs = _mask_pairs(capped, truths, masks, keys)
+        sizes = run_areas(masks.dets, ["image_id", "det_id"]).withColumnRenamed("area", "_pixels")
+        sized = capped.join(sizes, ["image_id", "det_id"], "left")
+        capped = sized.withColumn("det_area", F.coalesce("_pixels", F.lit(0)).cast("double")).drop("_pixels")
     return capped, pairs.filter(F.col("iou") >= min(*thresholds, MAX_IOU))
 
 
@@ -300,7 +338,7 @@ def _match_pairs(pairs: DataFrame, grid: CocoGrid) -> DataFrame:
             F.col("b_ann_id").alias("ann_id"),
             F.col("a_score").alias("score"),
             "iou",
-            (F.col("b_w") * F.col("b_h")).alias("ann_area"),
+            F.col("b_area").alias("ann_area"),
             (F.col("b_iscrowd") == 1).alias("crowd"),
         ),
         "coco-pairs",
@@ -356,7 +394,7 @@ def _match_pairs(pairs: DataFrame, grid: CocoGrid) -> DataFrame:
 
 
 def coco_match(
-    dets: DataFrame, truths: DataFrame, grid: CocoGrid | None = None, max_dets: int = 100
+    dets: DataFrame, truths: DataFrame, grid: CocoGrid | None = None, max_dets: int = 100, masks: MaskRuns | None = None
 ) -> DataFrame:
     """Matches (iou_threshold, area_range, det_id, ann_id, ann_ignored) of the COCO evaluator.
 
@@ -365,7 +403,7 @@ def coco_match(
     before ignored ones; a crowd can be chosen by many.
     """
     grid = grid or CocoGrid()
-    _, pairs = coco_pairs(dets, truths, grid.thresholds, max_dets)
+    _, pairs = coco_pairs(dets, truths, grid.thresholds, max_dets, masks)
     matched = _match_pairs(pairs, grid)
     rows = F.array(
         *[
@@ -385,14 +423,15 @@ def coco_match(
     )
 
 
-def coco_flags(dets: DataFrame, truths: DataFrame, grid: CocoGrid, max_dets: int = 100) -> DataFrame:
+def coco_flags(
+    dets: DataFrame, truths: DataFrame, grid: CocoGrid, max_dets: int = 100, masks: MaskRuns | None = None
+) -> DataFrame:
     """Per detection one bit per grid combination: ``tp`` and ``fp``; neither bit means ignored."""
-    capped, pairs = coco_pairs(dets, truths, grid.thresholds, max_dets)
+    capped, pairs = coco_pairs(dets, truths, grid.thresholds, max_dets, masks)
     bits = _match_pairs(pairs, grid).groupBy("det_id").agg(F.bit_or("matched").alias("_matched"), F.bit_or("tp").alias("_tp"))
-    det_area = F.col("w") * F.col("h")
     outside = F.lit(0).cast("long")
     for i, _, _, low, high in grid.configs():
-        outside = outside.bitwiseOR(F.when(_outside(det_area, low, high), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+        outside = outside.bitwiseOR(F.when(_outside(F.col("det_area"), low, high), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
     every = (1 << len(grid.configs())) - 1
     joined = capped.join(bits, "det_id", "left")
     hit = F.coalesce("_matched", F.lit(0).cast("long"))
@@ -408,7 +447,7 @@ def coco_flags(dets: DataFrame, truths: DataFrame, grid: CocoGrid, max_dets: int
 
 def coco_positives(truths: DataFrame, grid: CocoGrid) -> DataFrame:
     """Counted ground truths per class and area range."""
-    area = F.col("w") * F.col("h")
+    area = _truth_area(truths)
     ranges = F.array(
         *[
             F.struct(F.lit(name).alias("area_range"), (~_outside(area, low, high) & (F.col("iscrowd") == 0)).alias("counted"))
@@ -445,33 +484,34 @@ def _coco_buckets(flags: DataFrame, positives: DataFrame, grid: CocoGrid) -> Dat
             columns=["category_id", "slice_no", "tp", "fp"],
         )
 
-    # fewer rows than slices plus classes
-    totals = groups.applyInPandas(count, "category_id int, slice_no int, tp array<bigint>, fp array<bigint>").collect()
-    carry: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-    upto: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    none = np.zeros(len(configs), dtype=np.int64)
-    for r in sorted(totals, key=lambda r: (r["category_id"], r["slice_no"])):
-        tp, fp = upto.get(r["category_id"], (none, none))
-        carry[r["category_id"], r["slice_no"]] = tp, fp
-        upto[r["category_id"]] = tp + np.array(r["tp"]), fp + np.array(r["fp"])
-    counted = {(r["category_id"], r["area_range"]): r["npos"] for r in bounded_rows(positives, "classes times area ranges")}
-    shared = rows.sparkSession.sparkContext.broadcast((carry, counted))
+    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("slice_no")
+        for name in ("tp", "fp"):
+            each = np.stack(pdf[name].to_list())
+            pdf[name] = list(each.cumsum(0) - each)
+        return pdf
+
+    counts = "category_id int, slice_no int, tp array<bigint>, fp array<bigint>"
+    before = groups.applyInPandas(count, counts).groupBy("category_id").applyInPandas(carry, counts)  # at most one row per slice in a class
+    npos = positives.groupBy("category_id").agg(F.map_from_entries(F.collect_list(F.struct("area_range", "npos"))).alias("npos"))
+    known = before.join(npos, "category_id")  # a class without ground truth has no curve
     points = np.arange(RECALL_STEPS + 1) * (1.0 / RECALL_STEPS)
     columns = ["category_id", "iou_threshold", "area_range", "bucket", "precision", *[f"hit{m}" for m in MAX_DETECTIONS]]
 
-    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+    def reduce(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        if start.empty:
+            return pd.DataFrame(columns=columns)
         pdf = pdf.sort_values("slice_pos")
-        category = int(pdf["category_id"].iloc[0])
-        before, npos = shared.value
-        start_tp, start_fp = before[category, int(pdf["slice_no"].iloc[0])]
+        start = start.iloc[0]
+        category, npos = int(start["category_id"]), dict(start["npos"])
         is_tp = unpack(pdf, "tp")
-        tp = start_tp + is_tp.cumsum(0)
-        fp = start_fp + unpack(pdf, "fp").cumsum(0)
+        tp = start["tp"] + is_tp.cumsum(0)
+        fp = start["fp"] + unpack(pdf, "fp").cumsum(0)
         rank = pdf["det_rank"].to_numpy()
         out = []
         for i, threshold, area, _, _ in configs:
             at = np.nonzero(is_tp[:, i])[0]
-            n = npos.get((category, area), 0)
+            n = npos.get(area, 0)
             if not len(at) or not n:
                 continue
             precision = tp[at, i] / (tp[at, i] + fp[at, i])
@@ -483,17 +523,24 @@ def _coco_buckets(flags: DataFrame, positives: DataFrame, grid: CocoGrid) -> Dat
         return pd.DataFrame(out, columns=columns)
 
     hit_fields = ", ".join(f"hit{m} bigint" for m in MAX_DETECTIONS)
-    partial = groups.applyInPandas(reduce, f"category_id int, iou_threshold double, area_range string, bucket int, precision double, {hit_fields}")
+    partial = groups.cogroup(known.groupBy("category_id", "slice_no")).applyInPandas(reduce, f"category_id int, iou_threshold double, area_range string, bucket int, precision double, {hit_fields}")
     return partial.groupBy("category_id", "iou_threshold", "area_range", "bucket").agg(
         F.max("precision").alias("precision"), *[F.sum(f"hit{m}").alias(f"hit{m}") for m in MAX_DETECTIONS]
     )
 
 
-def coco_class_metrics(dets: DataFrame, truths: DataFrame, grid: CocoGrid | None = None) -> DataFrame:
-    """(category, iou_threshold, area_range, max_dets, ap, ar); -1 where a class has no counted ground truth."""
+def coco_class_metrics(
+    dets: DataFrame, truths: DataFrame, grid: CocoGrid | None = None, masks: MaskRuns | None = None, by_class: bool = True
+) -> DataFrame:
+    """(category, iou_threshold, area_range, max_dets, ap, ar); -1 where a class has no counted ground truth.
+
+    With ``masks`` the overlap is that of the masks.  Without ``by_class`` all classes count as one, numbered -1.
+    """
     grid = grid or CocoGrid()
+    if not by_class:
+        dets, truths = (df.withColumn("category_id", F.lit(ALL_CLASSES)) for df in (dets, truths))
     positives = coco_positives(truths, grid)
-    buckets = stage(_coco_buckets(coco_flags(dets, truths, grid, max(MAX_DETECTIONS)), positives, grid), "coco-buckets")
+    buckets = stage(_coco_buckets(coco_flags(dets, truths, grid, max(MAX_DETECTIONS), masks), positives, grid), "coco-buckets")
     keys = ["category_id", "iou_threshold", "area_range"]
     ap = _mean_over_points(buckets.select(*keys, F.col("bucket").alias("_bucket"), F.col("precision").alias("_p")), keys, RECALL_STEPS)
     hits = buckets.groupBy(*keys).agg(*[F.sum(f"hit{m}").alias(f"_hit{m}") for m in MAX_DETECTIONS])

@@ -140,28 +140,32 @@ def crowd_iou_join(dets: DataFrame, truths: DataFrame, keys: Sequence[str]) -> D
     return overlap_pairs(dets, truths, keys).withColumn("iou", measure)
 
 
-def mask_iou_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("image_id",)) -> DataFrame:
-    """IoU of instance masks given as run rows (keys, mask_id, row, start, end), end exclusive.
+def mask_overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("image_id",)) -> DataFrame:
+    """(keys, a_mask, b_mask, common, a_area, b_area) in pixels of masks given as run rows (keys, mask_id, row, start, end), end exclusive.
 
     Runs meet on the same image row only, in a crowded row on the same segment of it, so a row
     of any length is many tasks; the lengths of all parts are summed per pair.
     """
     keys = list(keys)
 
-    def areas(runs: DataFrame, name: str, total: str) -> DataFrame:
-        return runs.groupBy(*keys, F.col("mask_id").alias(name)).agg(F.sum(F.col("end") - F.col("start")).alias(total))
+    def areas(runs: DataFrame, name: str) -> DataFrame:
+        return runs.groupBy(*keys, F.col("mask_id").alias(f"{name}_mask")).agg(F.sum(F.col("end") - F.col("start")).alias(f"{name}_area"))
 
     columns = [*keys, "row", "start", "end", "mask_id"]
     both = left.select(*columns, F.lit(0).alias("side")).unionByName(right.select(*columns, F.lit(1).alias("side"))).where("end > start")
-    cut = cut_rows(stage(both, "runs"), [*keys, "row"])
+    runs = stage(both, "runs")
+    cut = cut_rows(runs, [*keys, "row"])
     a, b = [
         cut.where(F.col("side") == side).select(*keys, "row", "_segment", F.col("mask_id").alias(f"{name}_mask"), F.col("start").alias(f"{name}_s"), F.col("end").alias(f"{name}_e"))
         for side, name in ((0, "a"), (1, "b"))
     ]
     shared = F.least("a_e", "b_e") - F.greatest("a_s", "b_s")
     met = a.join(b, [*keys, "row", "_segment"]).filter(shared > 0).withColumn("common", shared)
-    common = met.groupBy(*keys, "a_mask", "b_mask").agg(F.sum("common").alias("_common"))
-    sized = common.join(areas(left, "a_mask", "_a"), [*keys, "a_mask"]).join(areas(right, "b_mask", "_b"), [*keys, "b_mask"])
-    return sized.select(
-        *keys, "a_mask", "b_mask", (F.col("_common") / (F.col("_a") + F.col("_b") - F.col("_common"))).alias("iou")
-    )
+    common = met.groupBy(*keys, "a_mask", "b_mask").agg(F.sum("common").alias("common"))
+    return common.join(areas(runs.where("side = 0"), "a"), [*keys, "a_mask"]).join(areas(runs.where("side = 1"), "b"), [*keys, "b_mask"])
+
+
+def mask_iou_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("image_id",)) -> DataFrame:
+    """IoU of the instance masks that share a pixel, both sides given as run rows (see ``mask_overlaps``)."""
+    sized = mask_overlaps(left, right, keys)
+    return sized.select(*keys, "a_mask", "b_mask", (F.col("common") / (F.col("a_area") + F.col("b_area") - F.col("common"))).alias("iou"))

@@ -254,23 +254,23 @@ _CROWD_IOU = f"""CASE WHEN t.iscrowd = 1 THEN
   ELSE {_iou('d', 't')} END"""
 
 # Serial choice by recursion over the detection rank; every detection lists its options, best first.
-_COCO_PASS = f"""
-truths AS MATERIALIZED (SELECT *, CAST(ann_id % 13 = 0 AS INT) AS crowd FROM annotations),
+_COCO_PASS = """
+truths AS MATERIALIZED (SELECT *, CAST(ann_id % 13 = 0 AS INT) AS crowd FROM (TRUTHS)),
 t AS MATERIALIZED (SELECT * REPLACE (crowd AS iscrowd) FROM truths),
 capped AS MATERIALIZED (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id, category_id ORDER BY score DESC, det_id) AS rk FROM detections)
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id, category_id ORDER BY score DESC, det_id) AS rk FROM (DETS))
   WHERE rk <= 100),
 configs(iou_threshold, area_range, low, high) AS (CONFIGS),
 pairs AS MATERIALIZED (
-  SELECT d.det_id, t.ann_id, t.iscrowd, t.w*t.h AS ann_area, {_CROWD_IOU} AS iou
-  FROM capped d JOIN t USING (image_id, category_id) WHERE {_CROWD_IOU} >= 0.5),
+  SELECT d.det_id, t.ann_id, t.iscrowd, t.AREA AS ann_area, PAIRIOU AS iou
+  FROM capped d JOIN t USING (image_id, category_id) WHERE PAIRIOU >= 0.5),
 options AS MATERIALIZED (
   SELECT iou_threshold, area_range, det_id,
-         list({{'ann': ann_id, 'crowd': iscrowd = 1, 'ign': iscrowd = 1 OR ann_area < low OR ann_area > high}}
+         list({'ann': ann_id, 'crowd': iscrowd = 1, 'ign': iscrowd = 1 OR ann_area < low OR ann_area > high}
               ORDER BY (iscrowd = 1 OR ann_area < low OR ann_area > high), iou DESC, ann_id DESC) AS opts
   FROM pairs JOIN configs ON iou >= least(iou_threshold, 1 - 1e-10) GROUP BY ALL),
 todo AS MATERIALIZED (
-  SELECT c.iou_threshold, c.area_range, d.image_id, d.category_id, d.det_id, d.score, d.rk, d.w*d.h AS det_area, c.low, c.high,
+  SELECT c.iou_threshold, c.area_range, d.image_id, d.category_id, d.det_id, d.score, d.rk, d.AREA AS det_area, c.low, c.high,
          coalesce(o.opts, []) AS opts
   FROM capped d CROSS JOIN configs c LEFT JOIN options o USING (iou_threshold, area_range, det_id)),
 pass AS (
@@ -291,7 +291,7 @@ flags AS (
          CAST(pick IS NULL AND NOT (det_area < low OR det_area > high) AS INT) AS is_fp
   FROM pass),
 npos AS (
-  SELECT category_id, area_range, count(*) FILTER (WHERE iscrowd = 0 AND w*h >= low AND w*h <= high) AS npos
+  SELECT category_id, area_range, count(*) FILTER (WHERE iscrowd = 0 AND AREA >= low AND AREA <= high) AS npos
   FROM t CROSS JOIN (SELECT DISTINCT area_range, low, high FROM configs) GROUP BY ALL),
 curve AS (
   SELECT *, tp / npos AS recall, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision
@@ -312,8 +312,15 @@ _FULL_CONFIGS = (
 _TWO_CONFIGS = "SELECT * FROM (VALUES (0.5::DOUBLE, 'all', 0.0::DOUBLE, 1e10), (0.5, 'medium', 1024.0, 9216.0))"
 
 
-def _coco(tail: str, configs: str) -> str:
-    return fx.with_ctes(f"WITH {_COCO_PASS.replace('CONFIGS', configs)}{tail}", "annotations", "detections", "categories", recursive=True)
+def _coco(
+    tail: str, configs: str, truths: str = "SELECT * FROM annotations", dets: str = "SELECT * FROM detections", iou: str = _CROWD_IOU, area: str = "box_area"
+) -> str:
+    """The evaluator's SQL over ``truths`` and ``dets``; ``area`` is the column that decides the area range."""
+    boxed = "SELECT *, w*h AS box_area FROM ({})"
+    text = f"WITH {_COCO_PASS}{tail}"
+    for name, value in (("TRUTHS", boxed.format(truths)), ("DETS", boxed.format(dets)), ("CONFIGS", configs), ("PAIRIOU", iou), ("AREA", area)):
+        text = text.replace(name, value)
+    return fx.with_ctes(text, "annotations", "detections", "categories", "images", recursive=True)
 
 
 _SUMMARY_ROWS = [

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-SECTIONS = ("boxes", "relations", "tiling", "aggregates", "evaluation", "files", "similarity", "augmentation", "streams")
+SECTIONS = ("boxes", "relations", "tiling", "aggregates", "evaluation", "masks", "files", "similarity", "augmentation", "streams")
 
 Query = Callable[[SparkSession, str], DataFrame]
 

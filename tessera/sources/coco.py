@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.masks import polygons_of, rle_json, rle_of
+
 _IMAGE = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -23,7 +25,7 @@ _ANNOTATION = T.StructType(
         T.StructField("category_id", T.IntegerType()),
         T.StructField("bbox", T.ArrayType(T.DoubleType())),
         T.StructField("area", T.DoubleType()),
-        T.StructField("segmentation", T.ArrayType(T.ArrayType(T.DoubleType()))),
+        T.StructField("segmentation", T.StringType()),  # its JSON: polygons or a run-length mask
         T.StructField("iscrowd", T.IntegerType()),
         T.StructField("score", T.DoubleType()),
         T.StructField("utf8_string", T.StringType()),
@@ -64,7 +66,8 @@ def _annotation_rows(df: DataFrame, row: str) -> DataFrame:
         f"{row}.category_id",
         *[F.get(box, i).alias(n) for i, n in enumerate("xywh")],
         F.coalesce(F.col(f"{row}.area"), F.get(box, 2) * F.get(box, 3)).alias("area"),
-        f"{row}.segmentation",
+        polygons_of(F.col(f"{row}.segmentation")).alias("segmentation"),
+        rle_of(F.col(f"{row}.segmentation")).alias("rle"),
         F.coalesce(F.col(f"{row}.iscrowd"), F.lit(0)).alias("iscrowd"),
         f"{row}.score",
         F.col(f"{row}.utf8_string").alias("text"),
@@ -79,10 +82,12 @@ def _category_rows(df: DataFrame, row: str) -> DataFrame:
 def read_coco(spark: SparkSession, path: str) -> CocoTables:
     """Tables of one or many COCO documents; a document without categories has none.
 
+    A segmentation is read as polygons (``segmentation``) or as a run-length mask (``rle``).
+    A damaged document, or a value of another type than COCO's, raises an error.
     A document is one JSON value and therefore one task: read it once and store
     the tables with ``save_tables``.  Many documents are read in parallel.
     """
-    doc = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
+    doc = spark.read.schema(DOCUMENT).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
     def exploded(name: str) -> DataFrame:
         return doc.select(F.explode(name).alias("r"))
@@ -115,7 +120,6 @@ def _annotation_struct(df: DataFrame):
         "category_id",
         F.array("x", "y", "w", "h").alias("bbox"),
         area.alias("area"),
-        F.col("segmentation") if "segmentation" in has else F.array().cast("array<array<double>>").alias("segmentation"),
         F.col("iscrowd") if "iscrowd" in has else F.lit(0).alias("iscrowd"),
     ]
     fields += [F.col(c) for c in ("score", "is_classification") if c in has]
@@ -124,13 +128,21 @@ def _annotation_struct(df: DataFrame):
     return F.struct(*fields)
 
 
+def _annotation_json(df: DataFrame):
+    """A row as a JSON object; its segmentation is the run-length mask, else the polygons, else an empty list."""
+    forms = [rle_json(F.col("rle"))] if "rle" in df.columns else []
+    forms += [F.to_json("segmentation")] if "segmentation" in df.columns else []
+    fields = F.to_json(_annotation_struct(df))
+    return F.concat(F.substring(fields, 1, F.length(fields) - 1), F.lit(',"segmentation":'), F.coalesce(*forms, F.lit("[]")), F.lit("}"))
+
+
 def _json_rows(tables: CocoTables) -> dict[str, DataFrame]:
     category_fields = [F.col("category_id").alias("id"), "name"]
     if "supercategory" in tables.categories.columns:
         category_fields.append("supercategory")
     return {
         "images": tables.images.select("image_id", F.to_json(_image_struct()).alias("value")),
-        "annotations": tables.annotations.select("ann_id", F.to_json(_annotation_struct(tables.annotations)).alias("value")),
+        "annotations": tables.annotations.select("ann_id", "image_id", _annotation_json(tables.annotations).alias("value")),
         "categories": tables.categories.select("category_id", F.to_json(F.struct(*category_fields)).alias("value")),
     }
 
@@ -170,6 +182,29 @@ def write_coco_document(tables: CocoTables, path: str) -> None:
     lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
 
 
+def write_coco_documents(tables: CocoTables, path: str, images_per_document: int) -> None:
+    """Complete COCO documents, each with the images of one range of ids, their annotations and all categories.
+
+    ``read_coco`` reads them in parallel.  A document is one row of its task, so choose the
+    range such that a document fits there; annotations without an image are left out.
+    """
+    rows = _json_rows(tables)
+    images = tables.images.select("image_id", F.expr(f"image_id div {int(images_per_document)}").alias("document"))
+    parts = rows["images"].join(images, "image_id").select("document", F.lit(0).alias("part"), F.col("image_id").alias("id"), "value")
+    placed = rows["annotations"].join(images, "image_id").select("document", F.lit(1).alias("part"), F.col("ann_id").alias("id"), "value")
+    listed = F.sort_array(F.collect_list(F.struct("part", "id", "value")))
+    categories = rows["categories"].agg(F.concat_ws(",", F.sort_array(F.collect_list("value"))).alias("categories"))  # one small row
+
+    def section(part: int):
+        return F.concat_ws(",", F.transform(F.filter("_rows", lambda r: r["part"] == part), lambda r: r["value"]))
+
+    documents = parts.unionByName(placed).groupBy("document").agg(listed.alias("_rows"))
+    value = F.concat(
+        F.lit('{"info":{},"licenses":[],"images":['), section(0), F.lit('],"annotations":['), section(1), F.lit('],"categories":['), categories.scalar(), F.lit("]}")
+    )
+    documents.select("document", value.alias("value")).repartition("document").write.partitionBy("document").mode("overwrite").text(path)
+
+
 def save_tables(tables: CocoTables, database: str, buckets: int = 200) -> None:
     """Store the tables; images and annotations are bucketed by image_id so their joins need no shuffle."""
     for name in ("images", "annotations"):

@@ -10,7 +10,7 @@ from tests.oracle import compare, duck
 SF = os.environ.get("TESSERA_SF", "0.001")
 SF_DIR = f"/root/testdata/sf{SF}"
 # the derived ids repeat at this scale, and these need unique ids
-NEEDS_UNIQUE_IDS = {"crop_pixels", "mask_iou_join", "nms_per_class_rounds", "score_candidates"} if SF == "0.001" else set()
+NEEDS_UNIQUE_IDS = {"coco_rle", "crop_pixels", "detection_summary_together", "mask_iou_join", "nms_per_class_rounds", "read_coco", "score_candidates"} if SF == "0.001" else set()
 
 
 @pytest.fixture(scope="module")
