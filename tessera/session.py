@@ -39,8 +39,19 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tessera-{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Spark deletes the shuffle files of a query when it ends; here only for the write of a stage, which nothing runs again.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def write_stage(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    """Write ``df`` to ``path`` and read it back; the shuffle files of the write do not outlive it."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN)
+    conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(_CLEAN, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
