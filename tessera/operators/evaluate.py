@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -34,6 +34,9 @@ MAX_IOU = 1 - 1e-10
 ALL_CLASSES = -1  # class number of an evaluation over all classes together
 EPS = 2.220446049250313e-16
 
+#: Pairs of one image and class that one ordered pass decides; beyond it the rounds find the same matches.
+GROUP_PAIRS = 500_000
+
 
 # ---------------------------------------------------------------- VOC
 
@@ -326,14 +329,71 @@ def coco_pairs(
     return capped, pairs.filter(F.col("iou") >= min(*thresholds, MAX_IOU))
 
 
-def _match_pairs(pairs: DataFrame, grid: CocoGrid) -> DataFrame:
+def _serial_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Serial choice of whole (image, class) groups, all grid combinations at once as bits.
+
+    Rows come by group, detections by rank, and a detection's options best
+    first.  A detection offers its open combinations to the counted options,
+    then what is left to the ignored ones.  Only the taken bits of the current
+    group and the options of the current detection are held.
+    """
+    group, chooser = None, None
+    taken: dict[int, int] = {}
+    options: list[tuple[int, int, int, bool]] = []
+    out: list[tuple[int, int, int, int]] = []
+
+    def choose() -> None:
+        used = 0
+        won: dict[int, list[int]] = {}
+        for ann, _, counted, _ in options:
+            free = counted & ~taken.get(ann, 0) & ~used
+            if free:
+                used |= free
+                taken[ann] = taken.get(ann, 0) | free
+                won[ann] = [free, free]
+        for ann, reached, counted, crowd in options:
+            free = reached & ~counted & ~used
+            if not crowd:
+                free &= ~taken.get(ann, 0)
+            if free:
+                used |= free
+                taken[ann] = taken.get(ann, 0) | free
+                won.setdefault(ann, [0, 0])[0] |= free
+        out.extend((chooser, ann, matched, tp) for ann, (matched, tp) in won.items())
+        options.clear()
+
+    def flush() -> pd.DataFrame:
+        rows = pd.DataFrame(out, columns=["det_id", "ann_id", "matched", "tp"], dtype="int64")
+        out.clear()
+        return rows
+
+    for pdf in batches:
+        columns = [pdf[c].tolist() for c in ("image_id", "category_id", "det_id", "ann_id", "matched", "tp", "crowd")]
+        for image, category, det, ann, matched, tp, crowd in zip(*columns):
+            if det != chooser or (image, category) != group:
+                choose()
+                chooser = det
+                if (image, category) != group:
+                    group = (image, category)
+                    taken.clear()
+            options.append((ann, matched, tp, crowd))
+        yield flush()
+    choose()
+    yield flush()
+
+
+def _match_pairs(pairs: DataFrame, grid: CocoGrid, group_pairs: int = GROUP_PAIRS) -> DataFrame:
     """(det_id, ann_id, matched, tp): bits of the combinations in which the pair is matched, and matched to a counted truth.
 
     A pair whose two members have no other partner is matched wherever its IoU
-    reaches the threshold.  Only the contested rest goes through the rounds.
+    reaches the threshold.  The contested rest goes through one ordered pass
+    per image and class, or through whole-table rounds where a group has more
+    than ``group_pairs`` pairs; the result is the same.
     """
+    keys = ["image_id", "category_id"]
     compact = stage(
         pairs.select(
+            *keys,
             F.col("a_det_id").alias("det_id"),
             F.col("b_ann_id").alias("ann_id"),
             F.col("a_score").alias("score"),
@@ -361,6 +421,25 @@ def _match_pairs(pairs: DataFrame, grid: CocoGrid) -> DataFrame:
         return out
 
     alone = marked.filter(~contested).select("det_id", "ann_id", bits(False).alias("matched"), bits(True).alias("tp"))
+    fought = marked.filter(contested)
+    crowded = compact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_pairs).select(*keys)
+    if crowded.isEmpty():
+        return alone.unionByName(_passed(fought, bits))
+    calm, rounds = fought.join(crowded, keys, "left_anti"), fought.join(crowded, keys, "left_semi")
+    return alone.unionByName(_passed(calm, bits)).unionByName(_in_rounds(rounds, grid))
+
+
+def _passed(fought: DataFrame, bits: Callable[[bool], Column]) -> DataFrame:
+    """Matches of groups of bounded size, each decided in one ordered pass."""
+    keys = ["image_id", "category_id"]
+    rows = fought.select(*keys, "det_id", "ann_id", bits(False).alias("matched"), bits(True).alias("tp"), "crowd", "score", "iou")
+    order = [*keys, F.col("score").desc(), "det_id", F.col("iou").desc(), F.col("ann_id").desc()]
+    ordered = rows.repartition(*keys).sortWithinPartitions(*order).drop("score", "iou")
+    return ordered.mapInPandas(_serial_pass, "det_id long, ann_id long, matched long, tp long")
+
+
+def _in_rounds(fought: DataFrame, grid: CocoGrid) -> DataFrame:
+    """Matches of groups of any size: every combination of a pair is a row of whole-table rounds."""
     options = F.array(
         *[
             F.struct(
@@ -372,8 +451,7 @@ def _match_pairs(pairs: DataFrame, grid: CocoGrid) -> DataFrame:
         ]
     )
     open_pairs = (
-        marked.filter(contested)
-        .select("*", F.explode(options).alias("_c"))
+        fought.select("*", F.explode(options).alias("_c"))
         .filter(F.col("iou") >= F.col("_c.least"))
         .select(
             "_c.config",
@@ -387,14 +465,18 @@ def _match_pairs(pairs: DataFrame, grid: CocoGrid) -> DataFrame:
     )
     chosen = serial_choice(open_pairs, ["config"], "coco-match")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("config"))
-    fought = chosen.groupBy(F.col("chooser").alias("det_id"), F.col("option").alias("ann_id")).agg(
+    return chosen.groupBy(F.col("chooser").alias("det_id"), F.col("option").alias("ann_id")).agg(
         F.bit_or(bit).alias("matched"), F.bit_or(F.when(F.col("counted"), bit).otherwise(F.lit(0).cast("long"))).alias("tp")
     )
-    return alone.unionByName(fought)
 
 
 def coco_match(
-    dets: DataFrame, truths: DataFrame, grid: CocoGrid | None = None, max_dets: int = 100, masks: MaskRuns | None = None
+    dets: DataFrame,
+    truths: DataFrame,
+    grid: CocoGrid | None = None,
+    max_dets: int = 100,
+    masks: MaskRuns | None = None,
+    group_pairs: int = GROUP_PAIRS,
 ) -> DataFrame:
     """Matches (iou_threshold, area_range, det_id, ann_id, ann_ignored) of the COCO evaluator.
 
@@ -404,7 +486,7 @@ def coco_match(
     """
     grid = grid or CocoGrid()
     _, pairs = coco_pairs(dets, truths, grid.thresholds, max_dets, masks)
-    matched = _match_pairs(pairs, grid)
+    matched = _match_pairs(pairs, grid, group_pairs)
     rows = F.array(
         *[
             F.struct(

@@ -81,12 +81,13 @@ def brute_coco(dets, truths, t, low, high, cap):
     return out
 
 
-def test_coco_match_with_a_hot_image_and_crowds(spark):
+@pytest.mark.parametrize("group_pairs", [1, 60, 500_000])
+def test_coco_match_with_a_hot_image_and_crowds(spark, group_pairs):
     dets = boxes(260, 120, spread=80)
     truths = boxes(200, 90, spread=80).rename(columns={"det_id": "ann_id"}).drop(columns="score")
     truths["iscrowd"] = (RNG.random(len(truths)) < 0.1).astype("int32")
     grid = evaluate.CocoGrid(thresholds=(0.3, 0.6), areas={"all": (0.0, 1e10), "mid": (900.0, 3600.0)})
-    out = evaluate.coco_match(spark.createDataFrame(dets), spark.createDataFrame(truths), grid, max_dets=40)
+    out = evaluate.coco_match(spark.createDataFrame(dets), spark.createDataFrame(truths), grid, max_dets=40, group_pairs=group_pairs)
     rows = out.collect()
     for t in (0.3, 0.6):
         for name, (low, high) in grid.areas.items():
