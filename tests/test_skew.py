@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import evaluate, nms, ordering, sampling, similarity
+from tessera.operators import evaluate, greedy, nms, ordering, sampling, similarity
 from tessera.operators.grouping import collect_parts
 
 RNG = np.random.default_rng(3)
@@ -154,6 +154,40 @@ def test_global_novelty_with_copies(spark):
     assert got == brute_novelty(x, 1.0)
 
 
+@pytest.mark.parametrize("most", [1, 16])
+def test_global_novelty_with_cut_lists(spark, most):
+    x = cloud()
+    got = sorted(r["id"] for r in similarity.novelty_global(vectors(spark, x), 1.0, block=64, most=most, slice_rows=50).collect())
+    assert got == brute_novelty(x, 1.0)
+
+
+def test_global_novelty_on_a_chain(spark):
+    x = np.zeros((5000, 2), dtype="float32")
+    x[:, 0] = np.arange(5000) * 0.6
+    got = sorted(r["id"] for r in similarity.novelty_global(vectors(spark, x), 1.0).collect())
+    assert got == list(range(0, 5000, 2))
+
+
+def brute_settle(links):
+    fate = {}
+    for v in sorted(links):
+        fate[v] = not any(fate[e] for e in links[v])
+    return fate
+
+
+@pytest.mark.parametrize("slice_rows", [40, 10_000])
+def test_settle_against_the_greedy_pass(spark, slice_rows):
+    n = 400
+    links = {v: [v - 1] if v % 3 and v < 200 else sorted({int(e) for e in RNG.integers(0, v, 3)}) if v else [] for v in range(n)}
+    links.update({v: [v - 1] for v in range(201, 300)})
+    rows = spark.createDataFrame([(v, e, False) for v, e in links.items()], "id long, earlier array<bigint>, more boolean")
+    got = {r["id"]: r["keep"] for r in greedy.settle(rows, "settle-test", slice_rows).collect()}
+    assert got == brute_settle(links)
+    cut = rows.withColumn("more", F.col("id") % 50 == 7)  # a cut list alone is never a reason to keep
+    some = {r["id"]: r["keep"] for r in greedy.settle(cut, "settle-test", slice_rows).collect()}
+    assert some.items() <= got.items() and 0 < len(some) < n
+
+
 def test_weighted_draws_follow_the_weights(spark):
     weights = spark.createDataFrame([(1, 100.0)] + [(i, 1.0) for i in range(2, 102)] + [(200, 0.0)], "image_id long, weight double")
     rows = sampling.weighted_resample(weights, 4000).groupBy("image_id").count().collect()
