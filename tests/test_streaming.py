@@ -21,6 +21,48 @@ def test_every_epoch_is_reported_once(spark, tmp_path):
     assert sorted((r["run"], r["epoch"], r["key"], r["value"]) for r in rows) == [("run1", 1, "loss", 0.5), ("run1", 2, "loss", 0.2)]
 
 
+def test_epoch_flags_leave_the_state_behind_the_watermark(spark, tmp_path):
+    src = str(tmp_path / "src")
+    schema = "ts timestamp, run string, line string"
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    (tmp_path / "src").mkdir()
+    raw = spark.readStream.schema(schema).parquet(src)
+    stream = metrics.stream_metrics(raw, ts="ts", late_by="10 minutes", idle="30 minutes")
+    sizes, batches = [], [
+        [(at(e), "r", f"INFO: epoch: [{e}/9], global_step: {e}, loss: 0.{e}") for e in range(1, 6)],
+        [(at(20), "r", "INFO: epoch: [5/9], global_step: 9, loss: 0.9")],  # known still
+        [(at(120), "r", "INFO: epoch: [6/9], global_step: 10, loss: 0.6")],  # all others have been silent
+        [(at(3), "r", "INFO: epoch: [3/9], global_step: 11, loss: 0.8")],  # too late
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        query = (
+            stream.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r["epoch"], r["value"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, 0.1), (2, 0.2), (3, 0.3), (4, 0.4), (5, 0.5), (6, 0.6)]
+    assert sizes[0] == sizes[1] == 5 and sizes[-1] == 1
+
+
+def test_sessions_in_slices_equal_the_session_window(spark):
+    rng = np.random.default_rng(5)
+    minutes = np.concatenate([rng.integers(0, 3000, 300), np.arange(4000, 4700, 7), [5000, 5010, 5030]])  # a long session, gaps of exactly ten
+    names = np.where(rng.random(len(minutes)) < 0.6, "hot", "cold")
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=int(m)), str(k), float(m % 8) / 4) for m, k in zip(minutes, names)]
+    rows += [(dt.datetime(2024, 1, 1), "hot", None), (None, "hot", 1.0)]
+    values = spark.createDataFrame(rows, "ts timestamp, name string, value double")
+    window = values.groupBy(F.session_window("ts", "10 minutes").alias("s"), "name").agg(
+        F.avg("value").alias("mean"), F.min("value"), F.max("value"), F.count(F.lit(1)).alias("n")
+    ).select("name", F.unix_micros("s.start"), F.unix_micros("s.end"), "mean", "min(value)", "max(value)", "n")
+    want = sorted(map(tuple, window.collect()), key=repr)
+    for part in ("1 hour", "1 day", "1 minute"):
+        got = metrics.windowed_meters(values, "ts", "name", "value", "", gap="10 minutes", part=part)
+        assert sorted(map(tuple, got.collect()), key=repr) == want
+
+
 def test_late_rows_are_left_out(spark, tmp_path):
     (tmp_path / "src").mkdir()
     src = str(tmp_path / "src")
