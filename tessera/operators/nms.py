@@ -35,8 +35,12 @@ def _suppress_arrays(dets: DataFrame, keys: list[str], threshold: float, pixel:
 def _suppress_rounds(dets: DataFrame, keys: list[str], threshold: float, pixel: float) -> DataFrame:
     """Groups of any size: conflict graph by the grid join, then greedy rounds over the whole table.
 
-    Equal boxes overlap fully, so only the first of them can survive.
+    Of equal boxes only the first can survive, where a box clashes with its
+    equal at all: not at thresholds from 1 on, nor without an area.  Such a box
+    clashes with no other either and is kept.
     """
+    self_clash = F.coalesce(iou(corners(), corners(), pixel) > threshold, F.lit(False))
+    free, dets = dets.filter(~self_clash), dets.filter(self_clash)
     firsts = dets.groupBy(*keys, "x", "y", "w", "h").agg(
         F.max(F.struct("score", (-F.col("det_id")).alias("_d"))).alias("_first")
     )
@@ -51,7 +55,7 @@ def _suppress_rounds(dets: DataFrame, keys: list[str], threshold: float, pixel:
     kept = unique.select("det_id")
     if dropped is not None:
         kept = kept.join(dropped.select(F.col("later").alias("det_id")), "det_id", "left_anti")
-    return dets.join(kept, "det_id", "left_semi").select(*dets.columns)
+    return dets.join(kept, "det_id", "left_semi").select(*dets.columns).unionByName(free)
 
 
 def _suppress(dets: DataFrame, keys: list[str], threshold: float, pixel: float, array_rows: int) -> DataFrame:

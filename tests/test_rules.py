@@ -114,6 +114,16 @@ def test_average_precision_without_truth_or_detections(spark):
     assert {r["ap"] for r in evaluate.average_precision(none, positives, "area").collect()} == {0.0}
 
 
+@pytest.mark.parametrize("array_rows", [1, 512])
+@pytest.mark.parametrize(("threshold", "pixel", "want"), [(1.0, 1.0, [1, 2, 3, 4, 5]), (0.5, 0.0, [1, 3, 4, 5]), (0.5, 1.0, [1, 3, 4])])
+def test_equal_and_empty_boxes_in_groups_of_any_size(spark, array_rows, threshold, pixel, want):
+    rows = [(1, 1, 1, 0.0, 0.0, 9.0, 9.0, 0.9), (2, 1, 1, 0.0, 0.0, 9.0, 9.0, 0.8), (3, 1, 1, 20.0, 20.0, 9.0, 9.0, 0.7)]
+    rows += [(4, 1, 1, 3.0, 3.0, 0.0, 0.0, 0.6), (5, 1, 1, 3.0, 3.0, 0.0, 0.0, 0.5)]
+    dets = spark.createDataFrame(rows, "det_id long, image_id long, category_id int, x double, y double, w double, h double, score double")
+    out = nms.nms_per_class(dets, threshold, pixel=pixel, array_rows=array_rows)
+    assert sorted(r["det_id"] for r in out.collect()) == want
+
+
 def test_top1_tie_takes_the_lower_class(spark):
     rows = spark.createDataFrame([(1, 3, 0.5), (1, 2, 0.5), (1, 4, 0.1)], "image_id long, class_idx int, score double")
     assert nms.top1_class(rows).first()["class_idx"] == 2
