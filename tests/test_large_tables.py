@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import tiling
+from tessera.operators import pixels, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -18,3 +18,29 @@ def test_tile_labels_broadcast_no_tiles(spark):
     out = tiling.tile_labels(fx.annotations(spark, SF), fx.images(spark, SF), tiling.TileSpec(256, 192))
     joined = [line for line in plan(out).splitlines() if "Join" in line and "image_id" in line]
     assert joined and not any("Broadcast" in line for line in joined)
+
+
+def test_made_pixels_are_not_broadcast(spark):
+    rows = [(i, 2 + i % 2, 3, 1, bytes(range(i, i + 3 * (2 + i % 2)))) for i in range(6)]
+    images = spark.createDataFrame(rows, "image_id long, height int, width int, nChannels int, data binary").coalesce(1)
+    boxes = images.selectExpr("image_id", "image_id * 10 as ann_id", "1d as x", "1d as y", "3d as w", "2d as h")
+    crops = pixels.crop_pixels(images, boxes)
+    assert "BroadcastHashJoin" not in plan(crops)
+    got = {r["ann_id"]: bytes(r["data"]) for r in crops.collect()}
+    for i, height, _, _, data in rows:
+        a = np.zeros((height + 2, 6), np.uint8)
+        a[:height, :3] = np.frombuffer(data, np.uint8).reshape(height, 3)
+        assert got[i * 10] == a[1:3, 1:4].tobytes()
+    copies = images.withColumn("copy_no", F.lit(0))
+    assert "BroadcastHashJoin" not in plan(pixels.warp_pixels(images, pixels.warp_parameters(copies)))
+
+
+@pytest.mark.parametrize("grid", [False, True])
+def test_runs_of_many_rings(grid):
+    rng = np.random.default_rng(5)
+    for n in range(3, 9):
+        rings = rng.integers(-10, 30, (20, n, 2)) / 2 if grid else rng.uniform(-20, 60, (20, n, 2))
+        place, *runs = pixels._ring_runs(rings)
+        for i, ring in enumerate(rings):
+            wanted = sorted(zip(*(v.tolist() for v in pixels.polygon_runs(ring))))
+            assert sorted(zip(*(v[place == i].tolist() for v in runs))) == wanted
