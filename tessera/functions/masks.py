@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # One mask: counts of zeros and ones in turn, down the columns, zeros first; either plain or packed as text.
 RLE = "struct<height:int,width:int,counts:array<bigint>,packed:string>"
@@ -13,10 +16,6 @@ _BITS, _MORE, _SIGN, _FIRST = 5, 32, 16, 48
 _GROUPS = 13  # characters that a 64-bit number can take
 
 
-def _shift(value: Column, by: Column) -> Column:
-    return F.call_function("shiftleft", value, by.cast("int"))
-
-
 def polygons_of(text: Column) -> Column:
     """Flat polygons of a segmentation given as JSON text; NULL for another form."""
     return F.when(text.startswith("["), F.from_json(text, "array<array<double>>"))
@@ -49,46 +48,42 @@ def rle_json(rle: Column) -> Column:
     return F.when(rle.isNotNull(), F.when(rle["packed"].isNotNull(), packed).otherwise(plain))
 
 
-def pack_counts(counts: Column) -> Column:
+@F.pandas_udf(T.StringType())
+def pack_counts(counts: pd.Series) -> pd.Series:
     """Counts as text: each from the fourth on is written as its difference from the last but one before it."""
-
-    def written(count: Column, i: Column) -> Column:
-        number = count - F.when(i > 2, F.get(counts, i - 2)).otherwise(F.lit(0))
-        groups = F.lit(_GROUPS)
-        for g in range(_GROUPS - 1, 0, -1):
-            half = 1 << (_BITS * g - 1)
-            groups = F.when((number >= -half) & (number < half), F.lit(g)).otherwise(groups)
-
-        def character(k: Column) -> Column:
-            bits = F.call_function("shiftright", number, k * _BITS).bitwiseAND(F.lit(31).cast("long"))
-            return F.char(bits + F.when(k < groups - 1, F.lit(_MORE)).otherwise(F.lit(0)) + _FIRST)
-
-        return F.concat_ws("", F.transform(F.sequence(F.lit(0), groups - 1), character))
-
-    return F.concat_ws("", F.transform(counts, written))
-
-
-def packed_codes(packed: Column) -> Column:
-    """Six-bit codes of the characters of packed counts."""
-    return F.transform(F.filter(F.split(packed, ""), lambda c: c != ""), lambda c: F.ascii(c) - _FIRST)
-
-
-def code_ends(codes: Column) -> Column:
-    """Place of the last character of every number."""
-    places = F.transform(codes, lambda c, i: F.when(c.bitwiseAND(F.lit(_MORE)) == 0, i))
-    return F.filter(places, lambda i: i.isNotNull())
-
-
-def code_numbers(codes: Column, ends: Column) -> Column:
-    """Numbers written in ``codes``, still as differences; two stored columns, as both are read for each number."""
-
-    def number(end: Column, m: Column) -> Column:
-        first = F.when(m == 0, F.lit(0)).otherwise(F.get(ends, m - 1) + 1)
-        signed = F.when(F.get(codes, end).bitwiseAND(F.lit(_SIGN)) != 0, _shift(F.lit(-1).cast("long"), (end - first + 1) * _BITS))
-        return F.aggregate(
-            F.sequence(first, end),
-            F.coalesce(signed, F.lit(0).cast("long")),
-            lambda total, i: total + _shift(F.get(codes, i).bitwiseAND(F.lit(31)).cast("long"), (i - first) * _BITS),
-        )
-
-    return F.transform(ends, number)
+    some = counts.dropna()
+    sizes = some.map(len).to_numpy(dtype=np.int64)
+    flat = np.concatenate([np.zeros(0, np.int64), *some]).astype(np.int64)
+    pos = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    number = flat.copy()
+    far = np.flatnonzero(pos > 2)
+    number[far] -= flat[far - 2]
+    size = np.where(number < 0, ~number, number)
+    groups = 1 + sum((size >> (_BITS * g - 1) > 0).astype(np.int64) for g in range(1, _GROUPS))
+    k = np.arange(groups.sum()) - np.repeat(np.cumsum(groups) - groups, groups)
+    more = np.where(k < np.repeat(groups, groups) - 1, _MORE, 0)
+    text = (((np.repeat(number, groups) >> (_BITS * k)) & 31) + more + _FIRST).astype(np.uint8).tobytes().decode("ascii")
+    ends = np.append(0, np.cumsum(groups))[np.append(0, np.cumsum(sizes))].tolist()
+    return pd.Series([text[a:b] for a, b in zip(ends, ends[1:])], index=some.index, dtype=object).reindex(counts.index)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def unpack_counts(packed: pd.Series) -> pd.Series:
+    """Counts written as text."""
+    out = []
+    for text in packed:
+        codes = np.frombuffer((text or "").encode("ascii"), np.uint8).astype(np.int64) - _FIRST
+        last = np.flatnonzero((codes & _MORE) == 0)
+        if not len(last):
+            out.append(np.zeros(0, np.int64) if text is not None else None)
+            continue
+        first = np.append(0, last[:-1] + 1)
+        codes, size = codes[: last[-1] + 1], last - first + 1
+        k = np.arange(len(codes)) - np.repeat(first, size)
+        number = np.add.reduceat((codes & 31) << (_BITS * k), first)
+        below = ((codes[last] & _SIGN) != 0) & (size < _GROUPS)  # a number of all groups carries its sign
+        number[below] -= np.int64(1) << (_BITS * size[below])
+        number[1::2] = np.cumsum(number[1::2])
+        number[2::2] = np.cumsum(number[2::2])
+        out.append(number)
+    return pd.Series(out, index=packed.index, dtype=object)

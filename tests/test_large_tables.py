@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import pixels, tiling
+from tessera.functions.masks import pack_counts
+from tessera.operators import masks, pixels, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -44,3 +45,14 @@ def test_runs_of_many_rings(grid):
         for i, ring in enumerate(rings):
             wanted = sorted(zip(*(v.tolist() for v in pixels.polygon_runs(ring))))
             assert sorted(zip(*(v[place == i].tolist() for v in runs))) == wanted
+
+
+def test_masks_travel_as_arrays(spark):
+    """Counts are packed and unpacked without a row per count."""
+    rng = np.random.default_rng(3)
+    listed = [[int(v) for v in rng.integers(0, 1 << int(rng.integers(1, 40)), n)] for n in (0, 1, 2, 3, 4, 9, 200)]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(listed)], "ann_id long, counts array<bigint>")
+    packed = df.select("ann_id", F.struct(F.lit(10).alias("height"), F.lit(10).alias("width"), F.lit(None).cast("array<bigint>").alias("counts"), pack_counts(F.col("counts")).alias("packed")).alias("rle"))
+    back = masks.count_arrays(packed, ["ann_id"])
+    assert "Window" not in plan(back) and "Explode" not in plan(back)
+    assert {r["ann_id"]: r["counts"] for r in back.collect()} == dict(enumerate(listed))
