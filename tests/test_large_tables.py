@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.masks import pack_counts
-from tessera.operators import masks, pixels, tiling
+from tessera.operators import evaluate, masks, pixels, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -56,3 +56,20 @@ def test_masks_travel_as_arrays(spark):
     back = masks.count_arrays(packed, ["ann_id"])
     assert "Window" not in plan(back) and "Explode" not in plan(back)
     assert {r["ann_id"]: r["counts"] for r in back.collect()} == dict(enumerate(listed))
+
+
+def test_curves_of_a_class_are_counted_in_bounded_groups(spark, monkeypatch):
+    """One class in one slice: a group holds a chunk of it, and the chunks add up."""
+    n = 500
+    score = F.pmod(F.xxhash64("id"), F.lit(97)) / 97
+    flags = spark.range(n).select(
+        F.lit(1).alias("category_id"), F.col("id").alias("det_id"), score.alias("score"), (F.col("id") % 40 + 1).cast("int").alias("det_rank"),
+        (F.xxhash64("id").bitwiseAND(3)).alias("tp"), F.bitwise_not(F.xxhash64("id")).bitwiseAND(3).alias("fp"),
+    ).coalesce(1)
+    grid = evaluate.CocoGrid(thresholds=(0.5,), areas={"all": (0.0, 1e10), "small": (0.0, 1024.0)})
+    positives = spark.createDataFrame([(1, "all", n), (1, "small", n // 2)], "category_id int, area_range string, npos long")
+    whole = sorted(evaluate._coco_buckets(flags, positives, grid).collect())
+    monkeypatch.setattr(evaluate, "CURVE_ROWS", 16)
+    cut = evaluate._coco_buckets(flags, positives, grid)
+    assert whole and sorted(cut.collect()) == whole
+    assert "chunk" in plan(cut)
