@@ -88,24 +88,18 @@ def affine_boxes(annotations: DataFrame, frames: DataFrame, min_size: float | No
     return out if min_size is None else out.filter((F.col("w") >= min_size) & (F.col("h") >= min_size))
 
 
-def clip_polygon_column(flat: Column, width: Column, height: Column) -> Column:
-    """A ring cut to (0, 0, width - 1, height - 1); NULL when fewer than three points are left."""
-    ring = pg.clip_points(pg.to_points(flat), F.lit(0.0), F.lit(0.0), width - 1.0, height - 1.0)
-    return pg.let(ring, lambda r: F.when(F.size(r) >= 3, pg.to_flat(r)))
-
-
-def _clean_segmentation(df: DataFrame, polygons: Column) -> DataFrame:
-    """Replace ``segmentation`` by its non-NULL rings and drop rows without any."""
-    rings = F.filter(polygons, lambda p: p.isNotNull())
+def _with_rings(df: DataFrame, rings: Column) -> DataFrame:
+    """Replace ``segmentation`` by ``rings`` and drop rows without any."""
     others = [c for c in df.columns if c != "segmentation"]
+    # explode of a one-element array: the filter then reads the result instead of computing it again
     return df.select(*others, F.explode(F.array(rings)).alias("segmentation")).filter(F.size("segmentation") > 0)
 
 
 def clip_polygons_to_image(annotations: DataFrame, images: DataFrame) -> DataFrame:
     """Annotations with polygons cut to their image; those without a polygon left go."""
     j = annotations.join(images.select("image_id", F.col("width").alias("_iw"), F.col("height").alias("_ih")), "image_id")
-    iw, ih = F.col("_iw").cast("double"), F.col("_ih").cast("double")
-    return _clean_segmentation(j, F.transform("segmentation", lambda p: clip_polygon_column(p, iw, ih))).select(*annotations.columns)
+    rings = pg.clip_rings(F.col("segmentation"), F.lit(0.0), F.lit(0.0), F.col("_iw") - 1.0, F.col("_ih") - 1.0)
+    return _with_rings(j, rings).select(*annotations.columns)
 
 
 def affine_polygons(annotations: DataFrame, frames: DataFrame) -> DataFrame:
@@ -115,14 +109,8 @@ def affine_polygons(annotations: DataFrame, frames: DataFrame) -> DataFrame:
     """
     extra = [c for c in ("copy_no",) if c in frames.columns]
     j = annotations.join(frames.select("image_id", *extra, F.col("width").alias("_iw"), F.col("height").alias("_ih"), *M), "image_id")
-    iw, ih = F.col("_iw").cast("double"), F.col("_ih").cast("double")
     m = tuple(F.col(c) for c in M)
-
-    def move(flat: Column) -> Column:
-        clamped = pg.clamp_points(pg.to_points(flat), iw - 1.0, ih - 1.0)
-        return clip_polygon_column(pg.to_flat(pg.affine_points(clamped, m)), iw, ih)
-
-    moved = _clean_segmentation(j, F.transform("segmentation", move))
+    moved = _with_rings(j, pg.clip_rings(F.col("segmentation"), F.lit(0.0), F.lit(0.0), F.col("_iw") - 1.0, F.col("_ih") - 1.0, matrix=m))
     _, _, bw, bh = pg.enclosing_box(pg.to_points(F.col("segmentation")[0]))
     if "area" in annotations.columns:
         area = F.when(F.coalesce("area", F.lit(0.0)) == 0, bw * bh).otherwise(F.col("area"))

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import polygons as pg
 from tessera.functions.masks import pack_counts
-from tessera.operators import evaluate, masks, pixels, tiling
+from tessera.operators import augment, evaluate, masks, pixels, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +74,19 @@ def test_curves_of_a_class_are_counted_in_bounded_groups(spark, monkeypatch):
     cut = evaluate._coco_buckets(flags, positives, grid)
     assert whole and sorted(cut.collect()) == whole
     assert "chunk" in plan(cut)
+
+
+def test_rings_are_clipped_together_as_one_by_one(spark):
+    rng = np.random.default_rng(8)
+    rings = [[[float(v) for v in rng.integers(-4, 15, n) * 10] for n in rng.choice([0, 1, 4, 6, 7, 16], k)] for k in (0, 1, 2, 3) * 20]
+    rows = [(i, 1, r, 1.0, 1.0) for i, r in enumerate(rings)] + [(99, 1, None, 1.0, 1.0), (98, 1, [None, [10.0, 10.0, 60.0, 10.0, 60.0, 120.0]], 1.0, 1.0)]
+    anns = spark.createDataFrame(rows, "ann_id long, image_id long, segmentation array<array<double>>, w double, h double")
+    images = spark.createDataFrame([(1, 101, 91)], "image_id long, width int, height int")
+    cut = augment.clip_polygons_to_image(anns, images)
+    assert "lambdafunction" not in plan(cut)
+    one = pg.clip_points(pg.to_points(F.col("r")), F.lit(0.0), F.lit(0.0), F.lit(100.0), F.lit(90.0))
+    alone = anns.select("ann_id", F.posexplode("segmentation").alias("pos", "r")).select("ann_id", "pos", one.alias("ring")).where("size(ring) >= 3")
+    wanted = {}
+    for r in alone.orderBy("ann_id", "pos").collect():
+        wanted.setdefault(r["ann_id"], []).append([v for p in r["ring"] for v in p])
+    assert wanted and {r["ann_id"]: r["segmentation"] for r in cut.collect()} == wanted
