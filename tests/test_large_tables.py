@@ -1,12 +1,14 @@
 """Plans and forms that larger tables need."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import polygons as pg
 from tessera.functions.masks import pack_counts
-from tessera.operators import augment, evaluate, masks, pixels, tiling
+from tessera.operators import augment, evaluate, masks, pixels, similarity, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -90,3 +92,17 @@ def test_rings_are_clipped_together_as_one_by_one(spark):
     for r in alone.orderBy("ann_id", "pos").collect():
         wanted.setdefault(r["ann_id"], []).append([v for p in r["ring"] for v in p])
     assert wanted and {r["ann_id"]: r["segmentation"] for r in cut.collect()} == wanted
+
+
+def test_dense_blocks_are_compared_in_bounded_memory():
+    """Vectors that are all near each other: the pairs' differences are never held all at once."""
+    rng = np.random.default_rng(2)
+    a = rng.random((1200, 64)) / 100
+    b = a[:700] + 1e-3
+    tracemalloc.start()
+    i, j, d = similarity._matches(a, b, 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == 1200 * 700 and peak < 150e6
+    some = rng.integers(0, len(i), 500)
+    assert np.array_equal(d[some], np.sqrt(((a[i[some]] - b[j[some]]) ** 2).sum(1)))
