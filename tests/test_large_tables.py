@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import polygons as pg
 from tessera.functions.masks import pack_counts
-from tessera.operators import augment, evaluate, masks, pixels, similarity, tiling
+from tessera.operators import augment, evaluate, masks, overlap, pixels, similarity, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -106,3 +106,23 @@ def test_dense_blocks_are_compared_in_bounded_memory():
     assert len(i) == 1200 * 700 and peak < 150e6
     some = rng.integers(0, len(i), 500)
     assert np.array_equal(d[some], np.sqrt(((a[i[some]] - b[j[some]]) ** 2).sum(1)))
+
+
+def test_equal_pixel_rows_of_a_mask_are_one_band(spark):
+    """Boxes and a ragged mask over several strips against plain sets of pixels; boxes are few rows before any shuffle."""
+    rng = np.random.default_rng(6)
+    rows, pixels_of = [], {}
+    for mask in range(14):
+        x, y, w, h = (int(v) for v in rng.integers(1, 130, 4))
+        for r in range(y - 40, y - 40 + h):
+            end = x + w + (r % 3 if mask % 7 == 0 else 0)
+            rows.append((1, mask, r, x, end))
+            pixels_of.setdefault(mask, set()).update((r, c) for c in range(x, end))
+    df = spark.createDataFrame(rows, "image_id long, mask_id long, row int, start int, end int").coalesce(1)
+    left, right = df.where("mask_id < 8"), df.where("mask_id >= 6")
+    assert overlap._bands(right.where("mask_id != 7")).count() < 20
+    got = {(r["a_mask"], r["b_mask"]): (r["common"], r["a_area"], r["b_area"]) for r in overlap.mask_overlaps(left, right).collect()}
+    wanted = {(a, b): (len(p & q), len(p), len(q)) for a, p in pixels_of.items() if a < 8 for b, q in pixels_of.items() if b >= 6 and p & q}
+    assert wanted and got == wanted
+    given = overlap.mask_overlaps(left, overlap._bands(right))
+    assert {(r["a_mask"], r["b_mask"]): (r["common"], r["a_area"], r["b_area"]) for r in given.collect()} == wanted
