@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import polygons as pg
 from tessera.functions.masks import pack_counts
-from tessera.operators import augment, evaluate, masks, overlap, pixels, similarity, tiling
+from tessera.operators import augment, evaluate, masks, overlap, pixels, sampling, similarity, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -126,3 +126,23 @@ def test_equal_pixel_rows_of_a_mask_are_one_band(spark):
     assert wanted and got == wanted
     given = overlap.mask_overlaps(left, overlap._bands(right))
     assert {(r["a_mask"], r["b_mask"]): (r["common"], r["a_area"], r["b_area"]) for r in given.collect()} == wanted
+
+
+@pytest.mark.parametrize("laid", [1, 40, 1 << 21])
+def test_rows_are_swept_in_lots(monkeypatch, laid):
+    """All rows of a lot in one call; pieces touch no pixel twice and show the top run, by pieces or by the heap."""
+    monkeypatch.setattr(sampling, "LAID", laid)
+    rng = np.random.default_rng(9)
+    group = np.sort(rng.integers(0, 12, 90))
+    group = np.unique(group, return_inverse=True)[1]
+    start = rng.integers(-5, 40, 90)
+    end, rank, ann = start + rng.integers(1, 15, 90), rng.integers(0, 6, 90), rng.permutation(90)
+    wanted = {}
+    for i in np.lexsort((ann, end, -rank))[::-1]:
+        wanted.update({(int(group[i]), c): int(i) for c in range(start[i], end[i])})
+    got = {}
+    for i, s, e in zip(*(v.tolist() for v in sampling._top_of_rows(group, start, end, rank, ann))):
+        for c in range(s, e):
+            assert (int(group[i]), c) not in got
+            got[int(group[i]), c] = i
+    assert got == wanted
