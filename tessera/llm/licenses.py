@@ -3,10 +3,11 @@
 All of it is DataFrame functions.  Lines are paragraphs; their features are the words and
 pairs of words that occur in a template.  Per licence family a sparse logistic regression
 is fitted by proximal gradient steps on the templates and on a bounded sample of
-``NEGATIVES`` corpus lines without a word of ``MARKS`` (the documented bound of the fit).
+``NEGATIVES`` corpus lines without a word of ``MARKS`` and not close to a template (the documented bound of the fit).
 Half of that sample is kept out and calibrates the unknown class: a family must score above
 every line kept out and be more probable than not.  A predicted family is confirmed when
-the line has a marked word and ``CONFIRM`` of the words and pairs of one of its templates.
+the line has ``CONFIRM`` of the words and pairs of one of its templates.  No line is left out:
+those that hold no pair of a template, which cannot be confirmed, are not scored.
 
 The weights are bounded by the templates, so they enter the scan as literals and the scan
 itself needs no shuffle: each document is read and judged where it lies.
@@ -54,6 +55,24 @@ TEMPLATE_GRAMS = [(f, grams(t.split())) for f, t in TEMPLATES]
 FEATURES = sorted({g for _, listed in TEMPLATE_GRAMS for g in listed})
 
 
+def _pairs_pattern() -> str:
+    """Pattern of the lines that hold a pair of words of a template.
+
+    No template has as many words as ``CONFIRM`` of its words and pairs, so a line without a pair is never confirmed.
+    """
+    followers: dict[str, set[str]] = {}
+    for _, listed in TEMPLATE_GRAMS:
+        pairs = [g for g in listed if " " in g]
+        if len(listed) - len(pairs) >= CONFIRM * len(listed):
+            raise ValueError(f"the words alone would confirm a line: {listed}")
+        for pair in pairs:
+            followers.setdefault(pair.split()[0], set()).add(pair.split()[1])
+    return "(?<![a-z])(?:" + "|".join(f"{a}[^a-z]+(?:{'|'.join(sorted(b))})" for a, b in sorted(followers.items())) + ")(?![a-z])"
+
+
+PAIRS = _pairs_pattern()
+
+
 def _texts(listed: list[str]) -> Column:
     return F.array(*map(F.lit, listed))
 
@@ -76,8 +95,17 @@ def _score(features: Column, weights: dict[str, float]) -> Column:
     return bias + total / F.sqrt(F.greatest(F.size(features), F.lit(1)))
 
 
+def _close(features: Column, family: str | None = None) -> Column:
+    """True where the line has ``CONFIRM`` of the words and pairs of a template (of the family)."""
+    held = F.lit(False)
+    for k, listed in TEMPLATE_GRAMS:
+        if family in (None, k):
+            held = held | (F.size(F.array_intersect(features, _texts(listed))) >= CONFIRM * len(listed))
+    return held
+
+
 def _negatives(docs: DataFrame, text: str) -> DataFrame:
-    """(features, held): at most NEGATIVES distinct lines without a marked word, chosen by their hash.
+    """(features, held): at most NEGATIVES distinct lines without a marked word and not close to a template, chosen by their hash.
 
     Only lines below a share of the hash range, set from the number of all lines, are
     compared, and equal lines meet before the shuffle.
@@ -86,6 +114,7 @@ def _negatives(docs: DataFrame, text: str) -> DataFrame:
     share = min(1.0, 8 * NEGATIVES / max(1, total))
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).select("line", F.xxhash64("line").alias("h"))
     lines = lines.where((F.pmod("h", F.lit(1 << 30)) <= int(share * (1 << 30))) & F.lower("line").rlike("[a-z]") & ~F.lower("line").rlike(MARKS))
+    lines = lines.where(~(F.lower("line").rlike(PAIRS) & _close(line_features(F.col("line")))))  # a line to be judged is no example of the rest
     chosen = lines.distinct().orderBy("h", "line").limit(NEGATIVES)
     return chosen.select(line_features(F.col("line")).alias("x"), (F.pmod(F.xxhash64("h"), F.lit(2)) == 0).alias("held"))
 
@@ -127,15 +156,11 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         found = []
         for k in FAMILIES:
             score = _score(features, weights[k])
-            held = F.lit(False)
-            for family, listed in TEMPLATE_GRAMS:
-                if family == k:
-                    held = held | (F.size(F.array_intersect(features, _texts(listed))) >= CONFIRM * len(listed))
-            found.append(F.when(held & (score > least[k]), F.struct(score.alias("s"), F.lit(k).alias("k"))))
+            found.append(F.when(_close(features, k) & (score > least[k]), F.struct(score.alias("s"), F.lit(k).alias("k"))))
         return F.array_max(F.array(*found))
 
-    marked = F.filter(F.split(F.col(text), "\n"), lambda line: F.lower(line).rlike(MARKS))
-    lines = F.filter(F.transform(F.transform(marked, line_features), judged), lambda b: b.isNotNull())
+    able = F.filter(F.split(F.col(text), "\n"), lambda line: F.lower(line).rlike(PAIRS))
+    lines = F.filter(F.transform(F.transform(able, line_features), judged), lambda b: b.isNotNull())
     return docs.select(F.col(key), F.coalesce(lines, F.array().cast("array<struct<s:double,k:string>>")).alias("_b")).select(
         F.col(key),
         F.array_sort(F.array_distinct(F.col("_b.k"))).alias("families"),

@@ -1,6 +1,7 @@
 """The licence scan against a plain version of its rules, and edge cases."""
 
 import math
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -58,3 +59,21 @@ def test_scan_equals_the_plain_rules(spark):
 def test_scan_of_an_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert licenses.scan(docs).select(F.count("*")).first()[0] == 0
+
+
+def test_lines_without_a_marked_word_are_judged(spark, monkeypatch):
+    """Every line of every length is judged as the plain rules do without their mark."""
+    rng = random.Random(4)
+    templates = [t.split() for _, t in licenses.TEMPLATES]
+    lines = ["released under the bsd", "This program is FREE software: you can use it under the terms of the GNU General Public text"]
+    for t in templates * 12:
+        held = [w for w in t if rng.random() > 0.15]
+        lines.append(rng.choice(["", "x ", "un"]) + rng.choice([" ", ", ", "1 "]).join(held) + rng.choice(["", "s", ".", " all"]))
+    docs = spark.createDataFrame([(i, line + "\nprose of no account", None) for i, line in enumerate(lines)], SCHEMA)
+    weights, least = licenses.train(docs)
+    monkeypatch.setattr(licenses, "MARKS", "")
+    wanted = {i: plain(line, weights, least)[0] for i, line in enumerate(lines)}
+    monkeypatch.undo()
+    got = {r["doc_id"]: r["families"] for r in licenses.scan(docs).collect()}
+    assert got == wanted
+    assert any(f and not re.search(licenses.MARKS, line.lower()) for f, line in zip(wanted.values(), lines))
