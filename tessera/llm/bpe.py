@@ -20,7 +20,7 @@ from functools import lru_cache
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.common import add_columns, documents
+from tessera.llm.common import add_columns, documents, held_by_worker
 
 CACHE_PIECES = 400_000
 LONGEST_KEPT = 64
@@ -180,16 +180,15 @@ class Bpe:
         return sum(counts), " ".join(ids), " ".join(tokens)
 
 
-@lru_cache(2)
 def load(path: str) -> Bpe:
-    """The vocabulary, once per Python worker."""
-    return Bpe(path)
+    """The vocabulary and its caches, once per Python worker."""
+    return held_by_worker(("bpe", path), lambda: Bpe(path))
 
 
-def encode_decode(docs: DataFrame, path: str, text: str = "text", digest: bool = False) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, text: str = "text", digest: bool = False, keep_text: bool = True) -> DataFrame:
     """Add ``n_tokens``, ``ids`` (space-separated) and ``decoded``, or their sha256 with ``digest``.
 
-    Columns of ``docs`` with those names are replaced.
+    Columns of ``docs`` with those names are replaced; without ``keep_text`` the text is left out.
     """
 
     def make():
@@ -205,11 +204,11 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", digest: bool =
         return rows
 
     added = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "n_tokens long, ids string, decoded string"
-    return add_columns(docs, added, make, text)
+    return add_columns(docs, added, make, text, keep_inputs=keep_text)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), digest=True).drop("text")
+    return encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), digest=True, keep_text=False)

@@ -12,13 +12,11 @@ no document can be learnt from.  Repeated documents are each predicted.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import add_columns, documents, fold
+from tessera.llm.common import SLICE_BYTES, add_columns, documents, fold, held_by_worker, slices
 
 DIMENSIONS = 1 << 15
 SAMPLE_PER_LANG = 400
@@ -27,9 +25,12 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.01
 UNKNOWN = "und"
 
 
-@lru_cache(1)
 def _folding() -> np.ndarray:
     """Code point -> lower-case letter, or a space for all that is no letter."""
+    return held_by_worker(("letters",), _letters)
+
+
+def _letters() -> np.ndarray:
     table = np.full(0x110000, 32, np.uint32)
     for c in range(0x110000):
         ch = chr(c)
@@ -134,9 +135,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
         found, n = np.zeros(DIMENSIONS, np.int64), 0
         for batch in batches:
-            for t in batch.column("t").to_pylist():
-                found[features(t)[0]] += 1
-                n += 1
+            for part in slices(batch, SLICE_BYTES):
+                for t in part.column("t").to_pylist():
+                    found[features(t)[0]] += 1
+                    n += 1
         yield pa.RecordBatch.from_pydict({"i": pa.array([*range(DIMENSIONS), -1], pa.int32()), "n": pa.array([*found.tolist(), n], pa.int64())})
 
     counted = rows.select("t").mapInArrow(frequencies, "i int, n long").groupBy("i").agg(F.sum("n")).collect()  # DIMENSIONS + 1 rows
