@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from tessera import session
 from tessera.llm import near_dedup
 from tests.llm.test_llm import table
 
@@ -83,3 +84,27 @@ def test_pipeline_stage_drops_copies_from_four_fifths_on(spark):
     expected = {i for i, c in brute(texts, 80).items() if i == c}
     assert 5 in expected ^ {i for i, c in brute(texts, 85).items() if i == c}
     assert {r["doc_id"] for r in kept.collect()} == expected
+
+
+def test_read_tables_are_deleted(spark, tmp_path, monkeypatch):
+    """Beside the result's own tables nothing stays, above all not the sets."""
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    texts = [*drifted(6, 40), *["one two three four five six"] * 3]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(table(spark, texts), threshold=85).collect()}
+    left = {p.name.rpartition("-")[0] for p in tmp_path.glob("tessera-*/*")}
+    assert got == brute(texts, 85)
+    assert left and left <= {"members", "components", "small-star"}
+
+
+def test_sketches_never_rule_out_a_link():
+    rnd = random.Random(7)
+    ruled_out = 0
+    for n in (1, 2, 15, 16, 17, 130, 1000):
+        for _ in range(60):
+            a = {rnd.getrandbits(64) for _ in range(n)}
+            b = set(rnd.sample(sorted(a), rnd.randrange(n + 1))) | {rnd.getrandbits(64) for _ in range(rnd.randrange(n // 2 + 2))}
+            x, y = (near_dedup.np.array(sorted(s), near_dedup.np.uint64) for s in (a, b))
+            most = near_dedup.most_shared(near_dedup.sketch(x), near_dedup.sketch(y), len(a), len(b))
+            assert most >= len(a & b)
+            ruled_out += 100 * most < 85 * (len(a) + len(b) - most)
+    assert ruled_out > 200
