@@ -146,3 +146,24 @@ def test_rows_are_swept_in_lots(monkeypatch, laid):
             assert (int(group[i]), c) not in got
             got[int(group[i]), c] = i
     assert got == wanted
+
+
+def test_matching_moves_and_compiles_little(spark, monkeypatch):
+    """Crowds are found by keys alone, contested pairs without a shuffle, and combinations by threshold and by area."""
+    staged = {}
+
+    def watch(module):
+        write = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name: staged.setdefault(name, plan(df)) and write(df, name))
+
+    watch(overlap)
+    watch(evaluate)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(evaluate.coco_match(fx.detections(spark, SF), fx.annotations(spark, SF)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Window" not in staged["full"] and "score" not in staged["full"]
+    assert "contested" in staged["coco-pairs"] and staged["coco-pairs"].count("Exchange hashpartitioning") == 2
+    assert text.count("CASE WHEN") < 100  # one per combination and branch would be 160
