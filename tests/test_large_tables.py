@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import polygons as pg
 from tessera.functions.masks import pack_counts
-from tessera.operators import augment, evaluate, masks, overlap, pixels, sampling, similarity, tiling
+from tessera.operators import augment, evaluate, masks, nms, overlap, pixels, sampling, similarity, tiling
 from tessera.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -167,3 +167,21 @@ def test_matching_moves_and_compiles_little(spark, monkeypatch):
     assert "Window" not in staged["full"] and "score" not in staged["full"]
     assert "contested" in staged["coco-pairs"] and staged["coco-pairs"].count("Exchange hashpartitioning") == 2
     assert text.count("CASE WHEN") < 100  # one per combination and branch would be 160
+
+
+def test_equal_boxes_are_told_by_their_area(spark):
+    """The short test whether a box suppresses its equal gives what the IoU gives, also for odd sides."""
+    inf, nan = float("inf"), float("nan")
+    sides = [-3.0, -1.0, 0.0, 1e-200, 0.5, 7.0, 1e200, inf, nan, None]
+    rows = [(x, 2.0, w, h) for x in (1.5, -4.0, nan, None) for w in sides for h in sides]
+    boxes = spark.createDataFrame(rows, "x double, y double, w double, h double")
+    own = nms.corners()
+    tests = [(t, p) for t in (-0.5, 0.0, 0.1, 1.0, 2.0) for p in (0.0, 1.0)]
+    pairs = [(nms._self_clash(t, p), F.coalesce(nms.iou(own, own, p) > t, F.lit(False))) for t, p in tests]
+    assert not any(boxes.agg(*[F.count_if(a != b).alias(f"d{i}") for i, (a, b) in enumerate(pairs)]).first())
+
+
+def test_rounds_of_suppression_are_short_code(spark):
+    detections = fx.detections(spark, SF)
+    free = detections.filter(~nms._self_clash(0.1, 1.0))
+    assert free._jdf.queryExecution().optimizedPlan().toString().count("l_partkey") < 30
