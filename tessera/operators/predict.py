@@ -116,6 +116,7 @@ def preannotate(
     go.  ``classification``: the best class, as a box over the whole image.
     """
     sizes = images.select("image_id", "width", "height")
+    shape = None
     if task == "classification":
         best = top1_class(predictions.select("image_id", "class_idx", "score")).withColumn("pos", F.lit(0))
         rows = apply_labelmap(filter_confidence(best, threshold), labelmap, shift, on_unknown).join(sizes, "image_id")
@@ -129,17 +130,27 @@ def preannotate(
         rows = rows.withColumn("segmentation", F.lit(None).cast("array<array<int>>"))
     elif task == "segmentation":
         rows = _chosen(predictions, labelmap, threshold, shift, on_unknown, OBJECT_LIMIT).filter(F.size("polygon") > 0)
-        cut = pg.truncate_points(F.col("polygon"))
-        x, y, w, h = pg.enclosing_box(cut)
-        real = F.transform(cut, lambda p: F.transform(p, lambda v: v.cast("double")))
-        rows = rows.withColumns({"x": x, "y": y, "w": w, "h": h, "area": pg.shoelace_area(real), "segmentation": F.array(pg.to_flat(cut))})
-        rows = rows.withColumn("is_classification", F.lit(None).cast("boolean"))
+        shape = _shape
     else:
         raise ValueError("task must be classification, detection or segmentation")
     rows = _categories_of(rows, categories, on_unknown)
     columns = ["image_id", "pos", "category_id", "x", "y", "w", "h", "score", "area", "segmentation", "is_classification"]
-    rows = rows.select(*columns, F.lit(0).alias("iscrowd"))
-    return dense_id(rows, ["image_id", "pos"], "ann_id", start=1) if number else rows
+
+    def annotation(df: DataFrame) -> DataFrame:
+        return (df if shape is None else shape(df)).select(*columns, F.lit(0).alias("iscrowd"))
+
+    if shape is not None:
+        rows = rows.select("image_id", "pos", "category_id", "score", "polygon")
+    return dense_id(rows, ["image_id", "pos"], "ann_id", start=1, then=annotation) if number else annotation(rows)
+
+
+def _shape(rows: DataFrame) -> DataFrame:
+    """Polygons in integer pixels with their box and area."""
+    rows = rows.withColumn("_cut", pg.truncate_points(F.col("polygon")))
+    x, y, w, h = pg.enclosing_box(F.col("_cut"))
+    real = F.transform("_cut", lambda p: F.transform(p, lambda v: v.cast("double")))
+    rows = rows.withColumns({"x": x, "y": y, "w": w, "h": h, "area": pg.shoelace_area(real), "segmentation": F.array(pg.to_flat(F.col("_cut")))})
+    return rows.withColumn("is_classification", F.lit(None).cast("boolean"))
 
 
 def format_predictions(

@@ -185,3 +185,13 @@ def test_rounds_of_suppression_are_short_code(spark):
     detections = fx.detections(spark, SF)
     free = detections.filter(~nms._self_clash(0.1, 1.0))
     assert free._jdf.queryExecution().optimizedPlan().toString().count("l_partkey") < 30
+
+
+def test_a_computed_ring_is_computed_once(spark):
+    """The ring's expression stands once in the plan of its points, not once per use."""
+    ring = F.array(*[(F.col("id") * i).cast("double") for i in range(1, 9)])
+    points = spark.range(2).select(pg.to_points(ring).alias("p"))
+    assert points._jdf.queryExecution().optimizedPlan().toString().count("* 8)") == 1
+    assert points.collect()[1]["p"] == [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0], [7.0, 8.0]]
+    none = F.lit(None).cast("array<double>")
+    assert spark.range(1).select(pg.to_points(none), pg.to_points(F.array(F.lit(1.0)))).first()[:] == ([], [])
