@@ -195,3 +195,15 @@ def test_a_computed_ring_is_computed_once(spark):
     assert points.collect()[1]["p"] == [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0], [7.0, 8.0]]
     none = F.lit(None).cast("array<double>")
     assert spark.range(1).select(pg.to_points(none), pg.to_points(F.array(F.lit(1.0)))).first()[:] == ([], [])
+
+
+def test_first_claims_are_found_where_the_pairs_lie(spark):
+    """Detections and truths are moved for the join, then detections and claims for the result; nothing else."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        truths = fx.annotations(spark, SF).withColumn("difficult", F.col("ann_id") % 7 == 0)
+        texts = [plan(evaluate.voc_match(fx.detections(spark, SF), truths)), plan(evaluate.voc_flags(fx.detections(spark, SF), truths, (0.5, 0.75)))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [t.count("Exchange hashpartitioning") for t in texts] == [4, 4]
