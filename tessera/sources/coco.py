@@ -182,11 +182,12 @@ def write_coco_document(tables: CocoTables, path: str) -> None:
     lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
 
 
-def write_coco_documents(tables: CocoTables, path: str, images_per_document: int) -> None:
+def write_coco_documents(tables: CocoTables, path: str, images_per_document: int, compression: str | None = None) -> None:
     """Complete COCO documents, each with the images of one range of ids, their annotations and all categories.
 
     ``read_coco`` reads them in parallel.  A document is one row of its task, so choose the
     range such that a document fits there; annotations without an image are left out.
+    With a ``compression`` of Spark's text writer the files are compressed, which ``read_coco`` reads as well.
     """
     rows = _json_rows(tables)
     images = tables.images.select("image_id", F.expr(f"image_id div {int(images_per_document)}").alias("document"))
@@ -202,7 +203,7 @@ def write_coco_documents(tables: CocoTables, path: str, images_per_document: int
     value = F.concat(
         F.lit('{"info":{},"licenses":[],"images":['), section(0), F.lit('],"annotations":['), section(1), F.lit('],"categories":['), categories.scalar(), F.lit("]}")
     )
-    documents.select("document", value.alias("value")).repartition("document").write.partitionBy("document").mode("overwrite").text(path)
+    documents.select("document", value.alias("value")).write.partitionBy("document").mode("overwrite").text(path, compression=compression)
 
 
 def save_tables(tables: CocoTables, database: str, buckets: int = 200) -> None:

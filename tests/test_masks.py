@@ -82,6 +82,41 @@ def test_empty_table_and_overlapping_runs(spark):
     assert sorted(map(tuple, masks.merged_runs(runs, ["k"]).collect())) == [(1, 0, 7), (1, 9, 10), (2, 3, 5)]
 
 
+def test_run_rows_of_a_mask_are_few_parts_and_may_repeat_or_overlap(spark):
+    solid = [(1, r, 5, 90) for r in range(200)]
+    odd = [(2, 7, 0, 4), (2, 3, 2, 6), (2, 3, 2, 6), (2, 5, 2, 6), (2, 7, 3, 9), (2, 64, 0, 10), (2, 65, 0, 10), (2, 3, 8, 8)]
+    runs = spark.createDataFrame([(1, *r) for r in odd[::-1] + solid], "image_id long, ann_id long, row int, start int, end int")
+    assert {r["ann_id"]: r["n"] for r in masks._gathered(runs.where("ann_id = 1"), KEYS).select("ann_id", F.size("_parts").alias("n")).collect()} == {1: 4}
+    sizes = spark.createDataFrame([(1, 1, 100, 200), (1, 2, 10, 70), (1, 3, 10, 70)], "image_id long, ann_id long, height int, width int")
+    made = {1: np.zeros((100, 200), int), 2: np.zeros((10, 70), int), 3: np.zeros((10, 70), int)}
+    for ann, row, start, end in solid + odd:
+        made[ann][start:end, row] = 1
+    got = {r["ann_id"]: r["rle"]["counts"] for r in masks.runs_to_rle(runs, sizes, KEYS).collect()}
+    assert got == {k: counts_of(m) for k, m in made.items()}
+
+
+def test_plain_and_packed_masks_of_one_table_and_a_text_that_breaks_off(spark):
+    data = [(1, i, (*m.shape, counts_of(m) if i % 2 else None, None if i % 2 else text_of(counts_of(m)))) for i, m in enumerate(cases())]
+    data += [(2, 1, (5, 5, None, "")), (2, 2, (5, 5, None, text_of([3, 4, 18]) + "P")), (2, 3, (5, 5, None, None)), (2, 4, (5, 5, None, text_of([3, 4, 18])))]
+    df = spark.createDataFrame(data, f"image_id long, ann_id long, rle {RLE}").coalesce(1)
+    want = {(1, i): counts_of(m) for i, m in enumerate(cases())} | {(2, 1): [], (2, 2): [3, 4, 18], (2, 4): [3, 4, 18]}
+    assert {(r["image_id"], r["ann_id"]): r["counts"] for r in masks.count_arrays(df, KEYS).collect()} == want
+    assert {(r["image_id"], r["ann_id"]): r["n"] for r in masks.run_areas(masks.rle_runs(df, KEYS), KEYS).withColumnRenamed("area", "n").collect()} == {
+        k: sum(v[1::2]) for k, v in want.items() if sum(v[1::2])
+    }
+
+
+def test_compressed_documents_are_read_again(spark, tmp_path):
+    images = spark.createDataFrame([(i, f"{i}.jpg", 5, 4) for i in range(30)], "image_id long, file_name string, width int, height int")
+    boxes = images.select("image_id", F.col("image_id").alias("ann_id"), F.lit(1).alias("category_id"), *[F.lit(1.0).alias(c) for c in "xywh"])
+    tables = coco.CocoTables(images, boxes, spark.createDataFrame([(1, "cat")], "category_id int, name string"))
+    coco.write_coco_documents(tables, str(tmp_path / "d"), 10, compression="gzip")
+    files = list((tmp_path / "d").rglob("part-*"))
+    assert len(files) == 3 and all(f.name.endswith(".gz") for f in files)
+    back = coco.read_coco(spark, str(tmp_path / "d"))
+    assert back.annotations.count() == back.images.count() == 30 and back.categories.count() == 3
+
+
 def test_polygon_and_packed_masks_survive_a_document(spark, tmp_path):
     square = {"size": [4, 5], "counts": [0, 2, 2, 2, 14]}
     doc = {
