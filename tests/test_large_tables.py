@@ -24,6 +24,18 @@ def test_tile_labels_broadcast_no_tiles(spark):
     assert joined and not any("Broadcast" in line for line in joined)
 
 
+def test_tile_label_counts_are_those_of_the_rows_and_move_no_tiles(spark):
+    spec = tiling.TileSpec(256, 192, overlap_x=0.25)
+    images = spark.createDataFrame([(1, "a.jpg", 700, 500), (2, "b.jpg", 200, 100), (2, "b.jpg", 200, 100), (3, "c.jpg", 300, 300), (None, "d.jpg", 300, 300)], "image_id long, file_name string, width int, height int")
+    labels = spark.createDataFrame([(1, 1, 5), (1, 2, 5), (1, 2, 5), (1, 3, None), (2, 4, 6), (None, 5, 5), (9, 6, 5)], "image_id long, ann_id long, category_id int")
+    rows = tiling.tile_labels(labels, images, spec).groupBy("tile_id", "file_name", "category_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = tiling.tile_labels(labels, images, spec, counted=True)
+    assert sorted(map(str, counts.select(*rows.columns).collect())) == sorted(map(str, rows.collect())) != []
+    lines = plan(counts).splitlines()
+    above = lines[: next(i for i, line in enumerate(lines) if "Join" in line and "image_id" in line)]
+    assert any("Generate" in line for line in above) and not any("Exchange" in line for line in above)  # nothing is moved after the join
+
+
 def test_made_pixels_are_not_broadcast(spark):
     rows = [(i, 2 + i % 2, 3, 1, bytes(range(i, i + 3 * (2 + i % 2)))) for i in range(6)]
     images = spark.createDataFrame(rows, "image_id long, height int, width int, nChannels int, data binary").coalesce(1)
