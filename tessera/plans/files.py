@@ -20,10 +20,12 @@ def _coco_tables(spark, sf):
 def coco_round_trip(spark, sf):
     """Tables written as COCO JSON lines and read back."""
     path = stage_path(spark, "coco-lines")
-    coco.write_coco_lines(_coco_tables(spark, sf), path)
+    coco.write_coco_lines(_coco_tables(spark, sf), path, compression="gzip")
     back = coco.read_coco_lines(spark, path)
-    named = back.annotations.join(back.images, "image_id").join(back.categories, "category_id")
-    return named.select("ann_id", "file_name", "name", "x", "y", "w", "h", "area", "score", F.size(F.col("segmentation")[0]).alias("numbers"))
+    # polygons are counted where they are read, so the joins move a number for each
+    counted = back.annotations.withColumn("numbers", F.size(F.col("segmentation")[0])).drop("segmentation")
+    named = counted.join(back.images, "image_id").join(back.categories, "category_id")
+    return named.select("ann_id", "file_name", "name", "x", "y", "w", "h", "area", "score", "numbers")
 
 
 def write_yolo_detection(spark, sf):

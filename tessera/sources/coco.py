@@ -147,10 +147,13 @@ def _json_rows(tables: CocoTables) -> dict[str, DataFrame]:
     }
 
 
-def write_coco_lines(tables: CocoTables, path: str) -> None:
-    """JSON lines per table, written in parallel: the form for data of any size."""
+def write_coco_lines(tables: CocoTables, path: str, compression: str | None = None) -> None:
+    """JSON lines per table, written in parallel: the form for data of any size.
+
+    ``compression`` is one of Spark's text writer; ``read_coco_lines`` reads such files as well.
+    """
     for name, rows in _json_rows(tables).items():
-        rows.select("value").write.mode("overwrite").text(f"{path}/{name}")
+        rows.select("value").write.mode("overwrite").text(f"{path}/{name}", compression=compression)
 
 
 def write_coco_document(tables: CocoTables, path: str) -> None:

@@ -219,3 +219,16 @@ def test_first_claims_are_found_where_the_pairs_lie(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert [t.count("Exchange hashpartitioning") for t in texts] == [4, 4]
+
+
+def test_round_trip_writes_compressed_lines_and_joins_no_polygons(spark, monkeypatch, tmp_path):
+    from tessera.plans import files
+
+    monkeypatch.setattr(files, "stage_path", lambda spark, name: str(tmp_path / name))
+    out = files.coco_round_trip(spark, SF)
+    written = list((tmp_path / "coco-lines").rglob("part-*"))
+    assert written and all(f.name.endswith(".gz") for f in written)
+    lines = plan(out).splitlines()
+    first = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert any("size(" in line for line in lines[first:]) and not any("size(" in line for line in lines[:first])
+    assert out.where("numbers <> 16").count() == 0 and out.count() == fx.detections(spark, SF).count()
